@@ -1,0 +1,19 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Join with ``small`` broadcast only when a bounded count proves it has at
+    most ``max_rows`` rows; otherwise a plain (shuffled) join, which AQE may
+    still turn into a broadcast from runtime sizes. The check scans at most
+    ``max_rows + 1`` rows of ``small``."""
+    n = small.limit(max_rows + 1).count()
+    side = F.broadcast(small) if n <= max_rows else small
+    return big.join(side, on, how)

@@ -54,3 +54,57 @@ SELECT hour, CAST(sum(bytes) AS BIGINT) AS bytes, CAST(sum(bytes) // 1073741824
        count(*) AS requests
 FROM p WHERE hour IS NOT NULL AND bytes IS NOT NULL GROUP BY hour ORDER BY hour
 """
+
+ORACLE["word_count"] = r"""
+WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS v FROM documents),
+toks AS (SELECT unnest(CASE WHEN v = '' THEN ['']
+                            WHEN rtrim(v, ' ') = '' THEN []::VARCHAR[]
+                            ELSE string_split(rtrim(v, ' '), ' ') END) AS word FROM lines)
+SELECT word, count(*) AS n FROM toks GROUP BY word
+"""
+
+_AD_COUNTS = """c AS (SELECT CAST(user_id % 7 AS INTEGER) AS province, CAST(event_id % 25 AS INTEGER) AS adid,
+                    count(*) AS clicks FROM events GROUP BY 1, 2)"""
+
+for _name, _dir in (("ad_rank_top", "DESC"), ("ad_rank_bottom", "ASC")):
+    ORACLE[_name] = f"""
+WITH {_AD_COUNTS},
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY province ORDER BY clicks {_dir}, adid) AS INTEGER) AS rank FROM c)
+SELECT province, adid, clicks, rank,
+       CAST(province AS VARCHAR) || '-' || CAST(adid AS VARCHAR) || '-' || CAST(clicks AS VARCHAR) AS label
+FROM r WHERE rank <= 3
+"""
+
+ORACLE["star_sales"] = """
+WITH stock AS (SELECT CAST(o_orderkey AS VARCHAR) AS ordernumber, strftime(o_orderdate, '%Y-%m-%d') AS dateid FROM orders),
+detail AS (SELECT CAST(l_orderkey AS VARCHAR) AS ordernumber, l_extendedprice * (1 - l_discount) AS amount FROM lineitem),
+dates AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS dateid, CAST(year(o_orderdate) AS INTEGER) AS theyear FROM orders)
+SELECT c.theyear, count(DISTINCT a.ordernumber) AS orders, round(sum(b.amount), 2) AS amount
+FROM stock a JOIN detail b ON a.ordernumber = b.ordernumber JOIN dates c ON a.dateid = c.dateid
+GROUP BY c.theyear ORDER BY c.theyear
+"""
+
+_PROPS = "SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"
+ORACLE["json_filter"] = f"SELECT * FROM ({_PROPS}) WHERE k > 21"
+ORACLE["sql_filter"] = ORACLE["json_filter"]
+
+ORACLE["int_average"] = """
+SELECT l_returnflag, CAST(sum(CAST(trunc(l_quantity) AS INTEGER)) // count(l_quantity) AS BIGINT) AS avg_qty
+FROM lineitem GROUP BY l_returnflag
+"""
+
+ORACLE["udaf_average"] = """
+SELECT c_mktsegment, round(avg(c_acctbal), 6) AS average FROM customer GROUP BY c_mktsegment
+"""
+
+ORACLE["typed_average"] = """
+SELECT round(avg(CAST(trunc(c_acctbal) AS BIGINT)), 6) AS average_salary FROM customer
+"""
+
+ORACLE["value_histogram"] = "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"
+
+ORACLE["row_index"] = """
+SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_partkey) - 1 AS idx FROM part
+"""
+
+ORACLE["partition_layout"] = "SELECT o_orderkey, CAST(o_orderkey % 5 AS INTEGER) AS partition FROM orders"

@@ -9,8 +9,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.operators import weblog
-from kestrel.sources import derived
+from pyspark.sql import functions as F
+
+from kestrel.functions import aggregates as A
+from kestrel.operators import layout, ranking, sales, text, weblog
+from kestrel.sources import derived, readers, schemas
+from kestrel.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,4 +46,102 @@ def q_video_ips(spark, sf_dir):
 @register("hour_flow")
 def q_hour_flow(spark, sf_dir):
     return weblog.hour_flow(derived.cdn_log(spark, sf_dir))
-FLAGSHIP = "ip_hits"
+
+
+# --- text (S1, P7, A1) ---------------------------------------------------------
+@register("word_count")
+def q_word_count(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("text")
+    return text.word_count(text.document_lines(docs))
+
+
+# --- ad clicks: parse, count, rank per province (S4, P10, P11, W1) ------------
+def _ad_counts(spark, sf_dir):
+    good, _bad = readers.parse_delimited(derived.ad_clicks(spark, sf_dir), schemas.AD_CLICK, " ")
+    return good.groupBy("province", "adid").agg(F.count(F.lit(1)).alias("clicks"))
+
+
+def _ad_rank(spark, sf_dir, ascending):
+    ranked = ranking.rank_per_group(_ad_counts(spark, sf_dir), ["province"], "clicks", 3,
+                                    ascending=ascending, tie_break=["adid"])
+    return ranked.withColumn("label", F.concat_ws("-", "province", "adid", "clicks"))
+
+
+@register("ad_rank_top")
+def q_ad_rank_top(spark, sf_dir):
+    return _ad_rank(spark, sf_dir, ascending=False)
+
+
+@register("ad_rank_bottom")
+def q_ad_rank_bottom(spark, sf_dir):
+    return _ad_rank(spark, sf_dir, ascending=True)
+
+
+# --- star schema (S5, S6, J1, A6, O4) -------------------------------------------
+@register("star_sales")
+def q_star_sales(spark, sf_dir):
+    stock, detail, dates = derived.stock_tables(spark, sf_dir)
+    return sales.yearly_sales(stock, detail, dates)
+
+
+# --- JSON field filter, column API and SQL text (S2, P2, P3) ------------------
+def _event_props(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "props")
+    parsed = F.from_json("props", "k bigint")
+    return ev.select("event_id", "user_id", parsed.getField("k").alias("k"))
+
+
+@register("json_filter")
+def q_json_filter(spark, sf_dir):
+    return _event_props(spark, sf_dir).where(F.col("k") > 21)
+
+
+@register("sql_filter")
+def q_sql_filter(spark, sf_dir):
+    _event_props(spark, sf_dir).createOrReplaceTempView("event_props")
+    return spark.sql("SELECT * FROM event_props WHERE k > 21")
+
+
+# --- user-defined aggregates (A5, A7, A8, A9, U1-U4) --------------------------
+@register("int_average")
+def q_int_average(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return (li.select("l_returnflag", F.col("l_quantity").cast("int").alias("q"))
+            .groupBy("l_returnflag").agg(A.int_average("q").alias("avg_qty")))
+
+
+@register("udaf_average")
+def q_udaf_average(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return (c.groupBy("c_mktsegment")
+            .agg(F.round(A.average("c_acctbal"), 6).alias("average")))
+
+
+@register("typed_average")
+def q_typed_average(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    emp = c.select(F.col("c_name").alias("name"),
+                   F.col("c_acctbal").cast("bigint").alias("salary"))
+    emp = emp.to(schemas.EMPLOYEE)  # enforce the typed record layout
+    return emp.agg(F.round(A.average("salary"), 6).alias("average_salary"))
+
+
+@register("value_histogram")
+def q_value_histogram(spark, sf_dir):
+    return A.histogram(table(spark, sf_dir, "events"), "event_type")
+
+
+# --- layout (P8, P9, X1, U5) ------------------------------------------------------
+@register("row_index")
+def q_row_index(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return layout.with_row_index(p, ["p_partkey"], "idx")
+
+
+@register("partition_layout")
+def q_partition_layout(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    return layout.partition_layout(layout.partition_by_key(o, "o_orderkey", 5))
+
+
+FLAGSHIP = "star_sales"

@@ -103,3 +103,42 @@ def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     # number of lines, so each basket is small.
     return (li.groupBy("l_orderkey")
             .agg(F.array_sort(F.collect_set("item")).alias("items")))
+
+
+def date_dimension(dates: DataFrame, col: str = "d") -> DataFrame:
+    """Calendar attributes, one row per distinct day in ``col`` (S6 layout).
+    The row count is bounded by the number of calendar days spanned."""
+    d = F.to_date(F.col(col))
+    days = dates.select(d.alias("d")).where(F.col("d").isNotNull()).distinct()
+    return days.select(
+        F.date_format("d", "yyyy-MM-dd").alias("dateid"),
+        (F.year("d") * 100 + F.month("d")).alias("years"),
+        F.year("d").alias("theyear"),
+        F.month("d").alias("month"),
+        F.dayofmonth("d").alias("day"),
+        F.dayofweek("d").alias("weekday"),
+        F.weekofyear("d").alias("week"),
+        F.quarter("d").alias("quarter"),
+        F.least(F.floor((F.dayofmonth("d") - 1) / 10) + 1, F.lit(3)).cast("int").alias("period"),
+        F.when(F.dayofmonth("d") <= 15, 1).otherwise(2).alias("halfmonth"),
+    )
+
+
+def stock_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(stock, detail, dates) in the reference's record layouts, from
+    orders and lineitem."""
+    orders = table(spark, sf_dir, "orders")
+    lineitem = table(spark, sf_dir, "lineitem")
+    stock = orders.select(
+        F.col("o_orderkey").cast("string").alias("ordernumber"),
+        F.col("o_custkey").cast("string").alias("locationid"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("dateid"))
+    detail = lineitem.select(
+        F.col("l_orderkey").cast("string").alias("ordernumber"),
+        F.col("l_linenumber").alias("rownum"),
+        F.col("l_partkey").cast("string").alias("itemid"),
+        F.col("l_quantity").cast("int").alias("number"),
+        F.col("l_extendedprice").alias("price"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("amount"))
+    dates = date_dimension(orders.select(F.col("o_orderdate").alias("d")))
+    return stock, detail, dates
