@@ -108,3 +108,103 @@ SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_partkey) - 1 AS idx FROM
 """
 
 ORACLE["partition_layout"] = "SELECT o_orderkey, CAST(o_orderkey % 5 AS INTEGER) AS partition FROM orders"
+
+G_CTE = """v AS MATERIALIZED (SELECT p_partkey AS id, p_name AS name, p_size AS age FROM part),
+e AS MATERIALIZED (SELECT src, dst, weight FROM (
+        SELECT l_partkey AS src,
+               lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) AS dst,
+               l_quantity AS weight FROM lineitem) WHERE dst IS NOT NULL)"""
+
+ORACLE["graph_build"] = f"""
+WITH {G_CTE},
+ep AS (SELECT src AS id FROM e UNION SELECT dst FROM e)
+SELECT id, name, age FROM v
+UNION ALL SELECT id, 'missing', 0 FROM ep WHERE id NOT IN (SELECT id FROM v)
+"""
+
+ORACLE["graph_filters"] = f"""
+WITH {G_CTE}
+SELECT 'vertices' AS metric, count(*) AS n FROM v
+UNION ALL SELECT 'vertices_age_gt_30', count(*) FROM v WHERE age > 30
+UNION ALL SELECT 'edges', count(*) FROM e
+UNION ALL SELECT 'edges_src_gt_dst', count(*) FROM e WHERE src > dst
+"""
+
+ORACLE["graph_triplets"] = f"""
+WITH {G_CTE}
+SELECT e.src, s.name AS src_name, e.dst, d.name AS dst_name, e.weight
+FROM e LEFT JOIN v s ON e.src = s.id LEFT JOIN v d ON e.dst = d.id WHERE e.weight > 5
+"""
+
+ORACLE["graph_map"] = f"""
+WITH {G_CTE}
+SELECT e.src, e.dst, e.weight, e.weight * 2 AS weight_x2, (s.age + 10) + (d.age + 10) AS age_sum
+FROM e LEFT JOIN v s ON e.src = s.id LEFT JOIN v d ON e.dst = d.id
+"""
+
+ORACLE["graph_subgraph"] = f"""
+WITH {G_CTE}
+SELECT src, dst, weight FROM e
+WHERE src IN (SELECT id FROM v WHERE age >= 30) AND dst IN (SELECT id FROM v WHERE age >= 30)
+"""
+
+ORACLE["graph_reverse"] = f"WITH {G_CTE} SELECT dst AS src, src AS dst, weight FROM e"
+
+ORACLE["graph_degrees"] = f"""
+WITH {G_CTE}
+SELECT v.id, v.name,
+       coalesce((SELECT count(*) FROM e WHERE e.dst = v.id), 0) AS in_degree,
+       coalesce((SELECT count(*) FROM e WHERE e.src = v.id), 0) AS out_degree
+FROM v
+"""
+
+ORACLE["graph_neighbors"] = f"""
+WITH {G_CTE}
+SELECT v.id, n.id AS nbr_id, n.name AS nbr_name, n.age AS nbr_age
+FROM v LEFT JOIN e ON e.dst = v.id LEFT JOIN v n ON n.id = e.src
+"""
+
+ORACLE["graph_messages"] = f"""
+WITH {G_CTE}
+SELECT e.dst AS id, count(s.age) AS msgs, CAST(sum(s.age) AS BIGINT) AS age_sum
+FROM e JOIN v s ON e.src = s.id GROUP BY e.dst
+"""
+
+ORACLE["graph_oldest_follower"] = f"""
+WITH {G_CTE},
+best AS (SELECT e.dst AS id, arg_max(s.name, (s.age, -s.id)) AS follower FROM e JOIN v s ON e.src = s.id GROUP BY e.dst)
+SELECT v.id, CASE WHEN best.follower IS NULL THEN v.name || ' does not have any follower.'
+                  ELSE best.follower || ' is the oldest follower of ' || v.name END AS text
+FROM v LEFT JOIN best ON v.id = best.id
+"""
+
+
+def _sssp_sql(source: int = 5, rounds: int = 40) -> str:
+    parts = [G_CTE, f"d0 AS MATERIALIZED (SELECT id, CASE WHEN id = {source} THEN 0.0 END::DOUBLE AS dist FROM v)"]
+    for i in range(1, rounds + 1):
+        parts.append(
+            f"d{i} AS MATERIALIZED (SELECT d.id, CASE WHEN c.cand IS NOT NULL AND (d.dist IS NULL OR c.cand < d.dist) "
+            f"THEN c.cand ELSE d.dist END AS dist FROM d{i-1} d LEFT JOIN "
+            f"(SELECT e.dst AS id, min(p.dist + e.weight) AS cand FROM e JOIN d{i-1} p ON e.src = p.id "
+            f"WHERE p.dist IS NOT NULL GROUP BY e.dst) c ON d.id = c.id)")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT id, dist FROM d{rounds}"
+
+
+ORACLE["graph_sssp"] = _sssp_sql()
+
+
+def _pagerank_sql(iters: int = 10) -> str:
+    parts = [G_CTE,
+             "od AS MATERIALIZED (SELECT src, count(*) AS deg FROM e GROUP BY src)",
+             "ew AS MATERIALIZED (SELECT e.src, e.dst, od.deg FROM e JOIN od ON e.src = od.src)",
+             "r0 AS MATERIALIZED (SELECT id, 1.0::DOUBLE AS rank FROM v)"]
+    for i in range(1, iters + 1):
+        parts.append(
+            f"r{i} AS MATERIALIZED (SELECT v.id, 0.15 + 0.85 * coalesce(c.s, 0.0) AS rank FROM v LEFT JOIN "
+            f"(SELECT ew.dst AS id, sum(r.rank / ew.deg) AS s FROM ew JOIN r{i-1} r ON ew.src = r.id "
+            f"GROUP BY ew.dst) c ON v.id = c.id)")
+    return ("WITH " + ",\n".join(parts)
+            + f"\nSELECT r.id, v.name, round(r.rank, 6) AS rank FROM r{iters} r JOIN v ON r.id = v.id")
+
+
+ORACLE["graph_pagerank"] = _pagerank_sql()

@@ -144,4 +144,100 @@ def q_partition_layout(spark, sf_dir):
     return layout.partition_layout(layout.partition_by_key(o, "o_orderkey", 5))
 
 
+
+
+
+# --- graph (G1-G15, J3-J6, A13-A15) ----------------------------------------------
+from kestrel.operators import graph as G  # noqa: E402
+
+
+def _g(spark, sf_dir):
+    return derived.part_graph(spark, sf_dir)
+
+
+@register("graph_build")
+def q_graph_build(spark, sf_dir):
+    g = _g(spark, sf_dir)
+    return G.build(g.vertices, g.edges, {"name": "missing", "age": 0}).vertices
+
+
+@register("graph_filters")
+def q_graph_filters(spark, sf_dir):
+    g = _g(spark, sf_dir)
+
+    def metric(name, df):
+        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("metric"), "n")
+
+    return (metric("vertices", g.vertices)
+            .unionByName(metric("vertices_age_gt_30", g.vertices.where(F.col("age") > 30)))
+            .unionByName(metric("edges", g.edges))
+            .unionByName(metric("edges_src_gt_dst", g.edges.where(F.col("src") > F.col("dst")))))
+
+
+@register("graph_triplets")
+def q_graph_triplets(spark, sf_dir):
+    t = G.triplets(_g(spark, sf_dir)).where(F.col("weight") > 5)
+    return t.select("src", "src_name", "dst", "dst_name", "weight")
+
+
+@register("graph_map")
+def q_graph_map(spark, sf_dir):
+    g = G.map_vertices(_g(spark, sf_dir), age=F.col("age") + 10)
+    g = G.map_edges(g, weight_x2=F.col("weight") * 2)
+    g = G.map_triplets(g, age_sum=F.col("src_age") + F.col("dst_age"))
+    return g.edges
+
+
+@register("graph_subgraph")
+def q_graph_subgraph(spark, sf_dir):
+    return G.subgraph(_g(spark, sf_dir), F.col("age") >= 30).edges
+
+
+@register("graph_reverse")
+def q_graph_reverse(spark, sf_dir):
+    return G.reverse(_g(spark, sf_dir)).edges
+
+
+@register("graph_degrees")
+def q_graph_degrees(spark, sf_dir):
+    return G.degrees(_g(spark, sf_dir)).select("id", "name", "in_degree", "out_degree")
+
+
+@register("graph_neighbors")
+def q_graph_neighbors(spark, sf_dir):
+    return G.in_neighbors(_g(spark, sf_dir))
+
+
+@register("graph_messages")
+def q_graph_messages(spark, sf_dir):
+    return G.aggregate_messages(_g(spark, sf_dir), lambda t: t["src_age"],
+                                {"msgs": F.count, "age_sum": F.sum})
+
+
+@register("graph_oldest_follower")
+def q_graph_oldest_follower(spark, sf_dir):
+    return G.oldest_follower(_g(spark, sf_dir))
+
+
+@register("graph_sssp")
+def q_graph_sssp(spark, sf_dir):
+    dist, _ = G.shortest_paths(_g(spark, sf_dir), 5, "weight")
+    return dist
+
+
+@register("graph_pagerank")
+def q_graph_pagerank(spark, sf_dir):
+    g = _g(spark, sf_dir)
+    ranks, _ = G.pagerank(g, max_iter=10)
+    return ranks.join(g.vertices.select("id", "name"), "id").select(
+        "id", "name", F.round("rank", 6).alias("rank"))
+
+
+@register("graph_pagerank_top")
+def q_graph_pagerank_top(spark, sf_dir):
+    g = _g(spark, sf_dir)
+    ranks, _ = G.pagerank(g, max_iter=100, tol=0.001)
+    titled = g.vertices.select("id", F.col("name").alias("title")).join(ranks, "id", "left") \
+        .fillna(0.0, ["rank"])
+    return ranking.top_k(titled, [F.desc("rank"), F.asc("id")], 10)
 FLAGSHIP = "star_sales"
