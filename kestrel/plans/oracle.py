@@ -208,3 +208,51 @@ def _pagerank_sql(iters: int = 10) -> str:
 
 
 ORACLE["graph_pagerank"] = _pagerank_sql()
+
+_FMT = "'%Y-%m-%d %H:%M:%S'"
+ORACLE["tumbling_counts"] = f"""
+WITH b AS (SELECT time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01') AS ws, event_type FROM events)
+SELECT strftime(ws, {_FMT}) AS window_start, strftime(ws + INTERVAL 6 HOURS, {_FMT}) AS window_end,
+       event_type, count(*) AS n
+FROM b GROUP BY ws, event_type
+"""
+
+ORACLE["sliding_counts"] = f"""
+WITH b AS (SELECT time_bucket(INTERVAL '3 hours', ts, TIMESTAMP '1970-01-01') AS s, event_type FROM events),
+w AS (SELECT s AS ws, event_type FROM b UNION ALL SELECT s - INTERVAL 3 HOURS, event_type FROM b)
+SELECT strftime(ws, {_FMT}) AS window_start, strftime(ws + INTERVAL 6 HOURS, {_FMT}) AS window_end,
+       event_type, count(*) AS n
+FROM w GROUP BY ws, event_type
+"""
+
+_CONV_WORDS = r"""lines AS (SELECT unnest(string_split(text, chr(10))) AS v FROM conversations),
+toks AS (SELECT unnest(CASE WHEN v = '' THEN ['']
+                            WHEN rtrim(v, ' ') = '' THEN []::VARCHAR[]
+                            ELSE string_split(rtrim(v, ' '), ' ') END) AS word FROM lines)"""
+
+ORACLE["stream_word_count"] = f"""
+WITH {_CONV_WORDS}
+SELECT word, count(*) AS n, CAST(0 AS BIGINT) AS batch_id FROM toks GROUP BY word
+"""
+
+ORACLE["running_totals"] = f"WITH {_CONV_WORDS} SELECT word, count(*) AS n FROM toks GROUP BY word"
+
+ORACLE["stream_relay"] = "SELECT 'hcx:' || coalesce(text, 'null') AS value FROM conversations"
+
+ORACLE["offset_ledger"] = """
+SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
+       min(event_id) AS from_offset, max(event_id) + 1 AS until_offset, CAST(0 AS BIGINT) AS batch_id
+FROM events GROUP BY 1, 2
+"""
+
+ORACLE["offset_resume"] = """
+WITH t AS (SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id AS off, ts FROM events),
+saved AS (SELECT topic, partition, max(off) + 1 AS saved FROM t
+          WHERE ts < (SELECT min(ts) FROM t) + INTERVAL 20 DAY GROUP BY 1, 2),
+earliest AS (SELECT topic, partition, min(off) AS earliest FROM t
+             WHERE ts >= (SELECT max(ts) FROM t) - INTERVAL 7 DAY GROUP BY 1, 2)
+SELECT coalesce(s.topic, e.topic) AS topic, coalesce(s.partition, e.partition) AS partition,
+       CASE WHEN s.saved IS NULL THEN -1 WHEN e.earliest IS NULL THEN s.saved
+            ELSE greatest(s.saved, e.earliest) END AS start_offset
+FROM saved s FULL OUTER JOIN earliest e ON s.topic = e.topic AND s.partition = e.partition
+"""

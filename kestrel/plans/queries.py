@@ -240,4 +240,118 @@ def q_graph_pagerank_top(spark, sf_dir):
     titled = g.vertices.select("id", F.col("name").alias("title")).join(ranks, "id", "left") \
         .fillna(0.0, ["rank"])
     return ranking.top_k(titled, [F.desc("rank"), F.asc("id")], 10)
+
+
+# --- streaming (S20-S23, T1-T8) ----------------------------------------------------
+from pyspark.sql import types as T  # noqa: E402
+
+from kestrel.streaming import runners as R  # noqa: E402
+from kestrel.streaming import transforms as ST  # noqa: E402
+
+_WINDOW_SCHEMA = T.StructType([T.StructField("window_start", T.StringType()),
+                               T.StructField("window_end", T.StringType()),
+                               T.StructField("event_type", T.StringType()),
+                               T.StructField("n", T.LongType())])
+
+
+def _window_query(spark, sf_dir, name, slide):
+    ev = ST.with_event_time(R.table_stream(spark, sf_dir, "events", ["ts", "event_type"]))
+    counts = ST.window_counts(ev, "event_type", "6 hours", slide)
+    data = R.run_to_folder(spark, counts, name, output_mode="update")
+    return R.latest_per_key(R.read_batches(spark, data, _WINDOW_SCHEMA),
+                            ["window_start", "window_end", "event_type"], ["n"])
+
+
+@register("tumbling_counts")
+def q_tumbling_counts(spark, sf_dir):
+    return _window_query(spark, sf_dir, "tumbling_counts", None)
+
+
+@register("sliding_counts")
+def q_sliding_counts(spark, sf_dir):
+    return _window_query(spark, sf_dir, "sliding_counts", "3 hours")
+
+
+def _conversation_lines(spark, sf_dir):
+    conv = R.table_stream(spark, sf_dir, "conversations", ["text"])
+    return text.document_lines(conv)
+
+
+_WORD_SCHEMA = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
+
+
+@register("stream_word_count")
+def q_stream_word_count(spark, sf_dir):
+    from kestrel.session import scratch_path
+    base = scratch_path(spark, "stream_word_count")
+    write = R.batch_writer(f"{base}/data")
+
+    def per_batch(df, batch_id):  # counts of this batch only, no state kept
+        write(ST.word_counts(df), batch_id)
+
+    R.run_batches(_conversation_lines(spark, sf_dir), per_batch, f"{base}/checkpoint")
+    return R.read_batches(spark, f"{base}/data", _WORD_SCHEMA)
+
+
+@register("running_totals")
+def q_running_totals(spark, sf_dir):
+    counts = ST.word_counts(_conversation_lines(spark, sf_dir))
+    data = R.run_to_folder(spark, counts, "running_totals", output_mode="update")
+    return R.latest_per_key(R.read_batches(spark, data, _WORD_SCHEMA), ["word"], ["n"])
+
+
+@register("stream_relay")
+def q_stream_relay(spark, sf_dir):
+    msgs = R.table_stream(spark, sf_dir, "conversations", ["text"]).withColumnRenamed("text", "value")
+    data = R.run_to_folder(spark, ST.relay(msgs), "stream_relay")
+    return R.read_batches(spark, data, T.StructType([T.StructField("value", T.StringType())])).drop("batch_id")
+
+
+_LEDGER_SCHEMA = T.StructType([T.StructField("topic", T.StringType()),
+                               T.StructField("partition", T.IntegerType()),
+                               T.StructField("from_offset", T.LongType()),
+                               T.StructField("until_offset", T.LongType())])
+
+
+def _topic_records(df):
+    """events as topic records: topic = event type, partition = user_id mod 4,
+    offset = event id."""
+    return df.select(F.col("event_type").alias("topic"),
+                     (F.col("user_id") % 4).cast("int").alias("partition"),
+                     F.col("event_id").alias("offset"), "ts")
+
+
+def _run_ledger(spark, stream, name):
+    from kestrel.session import scratch_path
+    base = scratch_path(spark, name)
+    write = R.batch_writer(f"{base}/ledger")
+
+    def record(df, batch_id):  # offsets of this batch, stored after its output
+        write(ST.offset_ranges(df), batch_id)
+
+    R.run_batches(stream, record, f"{base}/checkpoint")
+    return R.read_batches(spark, f"{base}/ledger", _LEDGER_SCHEMA)
+
+
+@register("offset_ledger")
+def q_offset_ledger(spark, sf_dir):
+    return _run_ledger(spark, _topic_records(R.table_stream(spark, sf_dir, "events")), "offset_ledger")
+
+
+@register("offset_resume")
+def q_offset_resume(spark, sf_dir):
+    """Ledger saved by a run over the first 20 days; retention keeps the last
+    7 days of the topic; restart positions from both."""
+    ev = table(spark, sf_dir, "events")
+    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    cut_s, keep_s = ev.agg(F.date_format(F.min("ts") + F.expr("INTERVAL 20 DAYS"), fmt),
+                           F.date_format(F.max("ts") - F.expr("INTERVAL 7 DAYS"), fmt)).first()
+    cut, keep = F.to_timestamp_ntz(F.lit(cut_s)), F.to_timestamp_ntz(F.lit(keep_s))
+    stream = _topic_records(R.table_stream(spark, sf_dir, "events")).where(F.col("ts") < cut)
+    ledger = _run_ledger(spark, stream, "offset_resume")
+    earliest = (_topic_records(ev).where(F.col("ts") >= keep)
+                .groupBy("topic", "partition").agg(F.min("offset").alias("earliest_offset")))
+    return ST.resume_positions(ledger, earliest)
+
+
 FLAGSHIP = "star_sales"
