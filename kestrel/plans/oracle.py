@@ -256,3 +256,35 @@ SELECT coalesce(s.topic, e.topic) AS topic, coalesce(s.partition, e.partition) A
             ELSE greatest(s.saved, e.earliest) END AS start_offset
 FROM saved s FULL OUTER JOIN earliest e ON s.topic = e.topic AND s.partition = e.partition
 """
+
+ORACLE["linreg_fit"] = """
+SELECT round(sum(l_quantity * l_extendedprice) / sum(l_quantity * l_quantity), 4) AS coefficient FROM lineitem
+"""
+
+ORACLE["mse_eval"] = """
+WITH b AS (SELECT sum(l_quantity * l_extendedprice) / sum(l_quantity * l_quantity) AS w FROM lineitem)
+SELECT count(*) AS rows, round(avg(power(l_extendedprice - b.w * l_quantity, 2)), 1) AS mse FROM lineitem, b
+"""
+
+ORACLE["table_round_trip"] = "SELECT * FROM nation"
+
+ORACLE["text_round_trip"] = ORACLE["word_count"]
+
+
+def _itemsets_sql(min_support: float = 0.01, max_size: int = 4) -> str:
+    b = "b AS MATERIALIZED (SELECT DISTINCT l_orderkey AS o, CAST(l_partkey % 20 AS VARCHAR) AS item FROM lineitem)"
+    need = f"(SELECT ceil({min_support} * count(DISTINCT o)) FROM b)"
+    selects = []
+    for k in range(1, max_size + 1):
+        al = [f"b{i}" for i in range(1, k + 1)]
+        frm = ", ".join(f"b b{i}" for i in range(1, k + 1))
+        conds = [f"b{i}.o = b1.o" for i in range(2, k + 1)] + [f"b{i-1}.item < b{i}.item" for i in range(2, k + 1)]
+        where = ("WHERE " + " AND ".join(conds)) if conds else ""
+        items = " || ' ' || ".join(f"{a}.item" for a in al)
+        group = ", ".join(f"{a}.item" for a in al)
+        selects.append(f"SELECT {items} AS items, count(*) AS freq FROM {frm} {where} GROUP BY {group} "
+                       f"HAVING count(*) >= {need}")
+    return f"WITH {b}\n" + "\nUNION ALL\n".join(selects)
+
+
+ORACLE["frequent_itemsets"] = _itemsets_sql()

@@ -354,4 +354,133 @@ def q_offset_resume(spark, sf_dir):
     return ST.resume_positions(ledger, earliest)
 
 
+
+
+# --- machine learning (M1-M11, S9, S11, S12, S24, A11, A12, J2) --------------------
+from kestrel.operators import ml  # noqa: E402
+
+
+def _points(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", ml.as_vector("embedding").alias("features"))
+
+
+@register("kmeans_assign")
+def q_kmeans_assign(spark, sf_dir):
+    pts = _points(spark, sf_dir)
+    model = ml.kmeans_fit(pts, k=2, max_iter=20, seed=1)
+    return model.transform(pts).select("vec_id", "cluster")
+
+
+@register("kmeans_cost")
+def q_kmeans_cost(spark, sf_dir):
+    pts = _points(spark, sf_dir)
+    model = ml.kmeans_fit(pts, k=2, max_iter=20, seed=1)
+    return ml.kmeans_cost(model, pts)
+
+
+@register("model_round_trip")
+def q_model_round_trip(spark, sf_dir):
+    from pyspark.ml.clustering import KMeansModel
+
+    from kestrel.session import scratch_path
+    pts = _points(spark, sf_dir)
+    path = scratch_path(spark, "kmeans_model")
+    ml.kmeans_fit(pts, k=2, max_iter=20, seed=1).write().overwrite().save(path)
+    return KMeansModel.load(path).transform(pts).select("vec_id", "cluster")
+
+
+def _shipping_points(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    days = F.datediff(F.to_date("l_shipdate"), F.lit("1970-01-01").cast("date")).cast("double")
+    feats = F.array(F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_discount"),
+                    F.col("l_tax"), days)
+    return li.select("l_orderkey", "l_linenumber", "l_partkey",
+                     (F.col("l_linestatus") == "F").cast("double").alias("label"),
+                     ml.as_vector(feats).alias("features"))
+
+
+@register("tree_error")
+def q_tree_error(spark, sf_dir):
+    train, test = ml.hash_split(_shipping_points(spark, sf_dir),
+                                ["l_orderkey", "l_linenumber", "l_partkey"], 7)
+    model = ml.tree_fit(train, max_depth=5, max_bins=32, impurity="gini")
+    return ml.error_rate(model.transform(test))
+
+
+def _ratings(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item"))
+            .agg(F.sum("l_quantity").alias("rating")))
+
+
+@register("als_fit_score")
+def q_als_fit_score(spark, sf_dir):
+    ratings = _ratings(spark, sf_dir)
+    model = ml.als_fit(ratings, rank=50, max_iter=10, reg=0.01, seed=0)
+    pred = model.transform(ratings.select("user", "item"))
+    return ml.mse(ml.score_against(ratings, pred), "rating", "prediction")
+
+
+@register("frequent_itemsets")
+def q_frequent_itemsets(spark, sf_dir):
+    fi = ml.frequent_itemsets(derived.baskets(spark, sf_dir), 0.01)
+    return fi.select(F.array_join(F.array_sort("items"), " ").alias("items"),
+                     F.col("freq").alias("freq"))
+
+
+def _price_points(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_extendedprice").alias("label"), "l_quantity",
+                     ml.as_vector(F.array("l_quantity")).alias("features"))
+
+
+@register("linreg_fit")
+def q_linreg_fit(spark, sf_dir):
+    model = ml.linreg_fit(_price_points(spark, sf_dir))
+    coef = float(model.coefficients[0])
+    return spark.range(1).select(F.round(F.lit(coef), 4).alias("coefficient"))
+
+
+@register("mse_eval")
+def q_mse_eval(spark, sf_dir):
+    pts = _price_points(spark, sf_dir)
+    model = ml.linreg_fit(pts)
+    return ml.mse(model.transform(pts), "label", "prediction").select(
+        "rows", F.round("mse", 1).alias("mse"))
+
+
+@register("linreg_sgd")
+def q_linreg_sgd(spark, sf_dir):
+    w = ml.linreg_gd(table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice",
+                     iters=100, step=1e-8)
+    return spark.range(1).select(F.lit(w).alias("coefficient"))
+
+
+# --- round trips through sinks (S17, S18) ---------------------------------------------
+from kestrel.sources import writers  # noqa: E402
+
+
+@register("table_round_trip")
+def q_table_round_trip(spark, sf_dir):
+    from kestrel.session import scratch_path
+    nation = table(spark, sf_dir, "nation")
+    return writers.replace_table(spark, "kestrel_nation", nation,
+                                 path=scratch_path(spark, "kestrel_nation"))
+
+
+@register("text_round_trip")
+def q_text_round_trip(spark, sf_dir):
+    from kestrel.session import scratch_path
+    counts = text.word_count(text.document_lines(table(spark, sf_dir, "documents").select("text")))
+    path = scratch_path(spark, "word_count_text")
+    writers.write_text(text.word_count_lines_text(counts), path)
+    lines = readers.read_text(spark, path)
+    m = r"^\((.*),([0-9]+)\)$"
+    return lines.select(F.regexp_extract("value", m, 1).alias("word"),
+                        F.regexp_extract("value", m, 2).cast("bigint").alias("n"))
+
+
 FLAGSHIP = "star_sales"

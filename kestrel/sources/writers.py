@@ -11,9 +11,16 @@ def write_text(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).text(path)
 
 
-def replace_table(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
-    """Drop-and-recreate a catalog table from ``df`` (S17); returns the table."""
-    df.write.mode("overwrite").saveAsTable(name)
+def replace_table(spark: SparkSession, name: str, df: DataFrame,
+                  path: str | None = None) -> DataFrame:
+    """Drop-and-recreate a catalog table from ``df`` (S17); returns the table.
+    With ``path`` the table data lives there (shared storage) instead of the
+    warehouse folder."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    w = df.write.mode("overwrite")
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
     return spark.table(name)
 
 
