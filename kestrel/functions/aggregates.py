@@ -8,6 +8,7 @@ SQL-name extension surface (:func:`register_average_udaf`) for bounded groups.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,8 +46,6 @@ def register_average_udaf(spark: SparkSession, name: str = "average") -> None:
     """Register ``name(x)`` as a SQL-callable average (pandas grouped-agg UDF).
     Each group is evaluated in one task; prefer :func:`average` for large
     groups."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def _avg(v: pd.Series) -> float:
         v = v.dropna()

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.session import ensure_checkpoint_dir
+from kestrel.session import scratch_path
 
 # Frontier/message tables up to this many rows are broadcast into the edge
 # join (their size is counted every round anyway).
@@ -145,10 +145,15 @@ def oldest_follower(g: PropertyGraph, name: str = "name", age: str = "age") -> D
 # ----------------------------------------------------------------------------- iterative
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder; cuts lineage and
-    survives executor loss (never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise a round as parquet in the shared checkpoint folder and read
+    it back. This cuts lineage *and* the logical plan (a checkpointed frame
+    keeps its origin plan for statistics, and loops that use the previous
+    round twice make that chain double every round). It survives executor
+    loss; a machine-local checkpoint is never used."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "round")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _join_frontier(edges: DataFrame, frontier: DataFrame, n: int) -> DataFrame:

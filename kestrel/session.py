@@ -21,12 +21,14 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "kestrel", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "kestrel", extra: dict | None = None,
+                  driver_memory: str = "8g") -> SparkSession:
     """Session for tests and the local bench. On a cluster the caller's
     session is used instead and nothing here is called."""
     b = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf["spark.driver.memory"] = driver_memory  # local mode: the only heap
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
