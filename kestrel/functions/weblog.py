@@ -30,7 +30,7 @@ def hour_pattern(year: str = DEFAULT_LOG_YEAR) -> str:
 
 def extract_ip(line: Column) -> Column:
     """First IPv4 address in the line, NULL when there is none."""
-    return F.nullif(F.regexp_extract(line, IP_PATTERN, 0), F.lit(""))
+    return F.regexp_substr(line, F.lit(IP_PATTERN))
 
 
 def extract_video(line: Column) -> Column:
@@ -52,5 +52,6 @@ def extract_hour(line: Column, year: str = DEFAULT_LOG_YEAR) -> Column:
 
 
 def extract_size(line: Column) -> Column:
-    """Response size in bytes; NULL when absent or not a valid bigint."""
-    return F.nullif(F.regexp_extract(line, SIZE_PATTERN, 2), F.lit("")).try_cast("bigint")
+    """Response size in bytes; NULL when absent or not a valid bigint (the
+    group is '' without a match, and '' does not cast)."""
+    return F.regexp_extract(line, SIZE_PATTERN, 2).try_cast("bigint")

@@ -109,12 +109,19 @@ def degrees(g: PropertyGraph) -> DataFrame:
 def in_neighbors(g: PropertyGraph) -> DataFrame:
     """In-neighbours of every vertex in long form: one row per (vertex,
     in-edge) with the neighbour's id and attributes (``nbr_*``); a vertex
-    without in-edges appears once with NULL neighbour columns. The long form
-    keeps a hub's neighbourhood spread over many rows and tasks."""
+    without in-edges appears once with NULL neighbour columns.
+
+    Built as (in-edges joined to neighbour attributes) ∪ (vertices with no
+    in-edge). Edges are always the probe side of the joins, so AQE can split
+    a hub's edges over several tasks; the anti-join only sees one row per
+    destination."""
     nb = _prefixed(g.vertices, "nbr")
     ins = (g.edges.select(F.col("dst").alias("id"), F.col("src").alias("nbr_id"))
            .join(nb, "nbr_id", "left"))
-    return g.vertices.select("id").join(ins, "id", "left")
+    receivers = g.edges.select(F.col("dst").alias("id")).distinct()
+    lonely = g.vertices.select("id").join(receivers, "id", "left_anti")
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in nb.schema.fields]
+    return ins.select("id", *nb.columns).unionByName(lonely.select("id", *empty))
 
 
 def aggregate_messages(g: PropertyGraph, message: Callable[[DataFrame], Column],

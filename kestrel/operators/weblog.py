@@ -29,10 +29,14 @@ def parse_log(lines: DataFrame, year: str = W.DEFAULT_LOG_YEAR) -> DataFrame:
 
 def ip_hits(lines: DataFrame, k: int = 10) -> DataFrame:
     """Requests per IP, the ``k`` most frequent (ties by IP). Lines without an
-    IP are skipped instead of failing the job."""
+    IP are skipped instead of failing the job.
+
+    Filters on regex results are applied after the aggregation (dropping the
+    NULL group): a filter on a projected regex column would be pushed below
+    the projection and evaluate the regex twice per line."""
     counts = (lines.select(W.extract_ip(F.col("value")).alias("ip"))
-              .where(F.col("ip").isNotNull())
-              .groupBy("ip").agg(F.count(F.lit(1)).alias("hits")))
+              .groupBy("ip").agg(F.count(F.lit(1)).alias("hits"))
+              .where(F.col("ip").isNotNull()))
     return top_k(counts, [F.desc("hits"), F.asc("ip")], k)
 
 
@@ -51,25 +55,29 @@ def unique_ips(lines: DataFrame) -> DataFrame:
 def video_ips(lines: DataFrame, k: int = 10) -> DataFrame:
     """Distinct visiting IPs per video, the ``k`` videos with most visitors.
     Distinct is planned as (video, ip) dedup then count, so one popular video
-    is spread over the shuffle by its IPs."""
+    is spread over the shuffle by its IPs. NULL IPs are not counted; a video
+    seen only without IPs is dropped after the aggregation."""
     v = F.col("value")
     per_video = (lines.where(W.is_video_line(v))
                  .select(W.extract_video(v).alias("video"), W.extract_ip(v).alias("ip"))
-                 .where(F.col("ip").isNotNull())
-                 .groupBy("video").agg(F.countDistinct("ip").alias("ips")))
+                 .groupBy("video").agg(F.countDistinct("ip").alias("ips"))
+                 .where(F.col("ips") > 0))
     return top_k(per_video, [F.desc("ips"), F.asc("video")], k)
 
 
 def hour_flow(lines: DataFrame, year: str = W.DEFAULT_LOG_YEAR) -> DataFrame:
     """Bytes served per hour of day for 200/206/304 responses, with whole GiB.
     Lines whose hour or size does not parse are left out (count them with
-    :func:`unparsed_flow_lines`). Ordered by hour."""
+    :func:`unparsed_flow_lines`). Ordered by hour.
+
+    One pass, each pattern evaluated once per line: the size is NULL unless
+    the status/size pattern matches and fits a bigint, so grouping by hour and
+    keeping only hours with counted sizes equals filtering the lines first."""
     v = F.col("value")
-    parsed = (lines.where(W.has_status_and_size(v))
-              .select(W.extract_hour(v, year).alias("hour"), W.extract_size(v).alias("bytes"))
-              .where(F.col("hour").isNotNull() & F.col("bytes").isNotNull()))
+    parsed = lines.select(W.extract_hour(v, year).alias("hour"), W.extract_size(v).alias("bytes"))
     return (parsed.groupBy("hour")
-            .agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("requests"))
+            .agg(F.sum("bytes").alias("bytes"), F.count("bytes").alias("requests"))
+            .where(F.col("hour").isNotNull() & (F.col("requests") > 0))
             .withColumn("gib", F.expr(f"bytes div {W.GIB}"))
             .select("hour", "bytes", "gib", "requests")
             .orderBy("hour"))
