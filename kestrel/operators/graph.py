@@ -151,16 +151,27 @@ def oldest_follower(g: PropertyGraph, name: str = "name", age: str = "age") -> D
 
 # ----------------------------------------------------------------------------- iterative
 
-def _checkpoint(df: DataFrame) -> DataFrame:
+def _checkpoint(df: DataFrame, metric: Column | None = None):
     """Materialise a round as parquet in the shared checkpoint folder and read
     it back. This cuts lineage *and* the logical plan (a checkpointed frame
     keeps its origin plan for statistics, and loops that use the previous
     round twice make that chain double every round). It survives executor
-    loss; a machine-local checkpoint is never used."""
+    loss; a machine-local checkpoint is never used.
+
+    With ``metric`` (an aggregate Column) the value is observed during the
+    same write, saving a separate counting job; returns (frame, value)."""
+    from pyspark.sql import Observation
     spark = df.sparkSession
     path = scratch_path(spark, "round")
+    obs = None
+    if metric is not None:
+        obs = Observation()
+        df = df.observe(obs, metric.alias("m"))
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    if obs is None:
+        return out
+    return out, obs.get.get("m")
 
 
 def _join_frontier(edges: DataFrame, frontier: DataFrame, n: int) -> DataFrame:
@@ -175,46 +186,48 @@ def shortest_paths(g: PropertyGraph, source, weight: str = "weight",
     reference's pregel run). Unreachable vertices get NULL. Returns the
     distances and the number of rounds run.
 
-    Each round: frontier ⋈ edges on src -> min candidate per dst -> keep
-    candidates better than the current distance -> new frontier. The edge
-    table is prepared once (pruned to three columns, checkpointed); the
-    frontier is broadcast when its counted size allows."""
+    Each round: frontier ⋈ edges on src -> min candidate per dst -> merge
+    with the reached set (full outer join on id) -> vertices whose distance
+    fell form the next frontier. Only reached vertices are carried between
+    rounds; the size of the frontier is observed while the round is written
+    (no extra job), and the frontier is broadcast when that size allows."""
     edges = _checkpoint(g.edges.select("src", "dst", F.col(weight).cast("double").alias("w"))
                         .where(F.col("w").isNotNull()))
-    dist = _checkpoint(g.vertices.select(
-        "id", F.when(F.col("id") == F.lit(source), F.lit(0.0)).cast("double").alias("dist")))
-    frontier = dist.where(F.col("dist").isNotNull()).select(F.col("id").alias("src"),
-                                                            F.col("dist").alias("sdist"))
-    n = frontier.count()
+    spark = g.vertices.sparkSession
+    reached = (g.vertices.select("id").where(F.col("id") == F.lit(source))
+               .select("id", F.lit(0.0).alias("dist"), F.lit(True).alias("changed")))
+    reached, n = _checkpoint(reached, F.count(F.lit(1)))
     rounds = 0
-    while n > 0 and rounds < max_rounds:
+    while n and rounds < max_rounds:
         rounds += 1
+        frontier = reached.where("changed").select(F.col("id").alias("src"), F.col("dist").alias("sdist"))
         cand = (_join_frontier(edges, frontier, n)
                 .groupBy(F.col("dst").alias("id"))
                 .agg(F.min(F.col("sdist") + F.col("w")).alias("cand")))
-        joined = dist.join(cand, "id", "left")
+        merged = reached.select("id", "dist").join(cand, "id", "full")
         better = F.col("cand").isNotNull() & (F.col("dist").isNull() | (F.col("cand") < F.col("dist")))
-        new = _checkpoint(joined.select(
-            "id", F.when(better, F.col("cand")).otherwise(F.col("dist")).alias("dist"),
-            better.alias("changed")))
-        frontier = new.where("changed").select(F.col("id").alias("src"), F.col("dist").alias("sdist"))
-        n = frontier.count()
-        dist = new.select("id", "dist")
+        nxt = merged.select("id", F.when(better, F.col("cand")).otherwise(F.col("dist")).alias("dist"),
+                            better.alias("changed"))
+        reached, n = _checkpoint(nxt, F.sum(F.col("changed").cast("long")))
+    del spark
+    dist = g.vertices.select("id").join(reached.select("id", "dist"), "id", "left")
     return dist, rounds
 
 
 def pagerank(g: PropertyGraph, max_iter: int = 20, tol: float | None = None,
-             reset_prob: float = 0.15, checkpoint_every: int = 1) -> tuple[DataFrame, int]:
+             reset_prob: float = 0.15, checkpoint_every: int = 5) -> tuple[DataFrame, int]:
     """Unnormalised PageRank: rank = reset + (1 - reset) * Σ rank(src)/outdeg(src),
     starting from 1.0 everywhere. Runs ``max_iter`` rounds, or stops earlier
     once the largest change is below ``tol``. Returns (id, rank) and the
     number of rounds run.
 
     Out-degrees are attached to the edges once; every round is one join of
-    the edge table with the rank table on src, a grouped sum on dst (partial
-    aggregation, so hub destinations are fine) and a join back to all
-    vertices."""
-    spark = g.vertices.sparkSession
+    the edge table with the rank table on src (a hub's edges can be split by
+    AQE's skew handling), a grouped sum on dst (partial aggregation, so hub
+    destinations are fine) and a join back to all vertices. With ``tol`` each
+    round is materialised and its largest change observed during that write;
+    without it, a round is materialised every ``checkpoint_every`` rounds
+    (the plan grows linearly in between, nothing is recomputed)."""
     outdeg = g.edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
     edges = _checkpoint(g.edges.select("src", "dst").join(outdeg, "src"))
     ids = _checkpoint(g.vertices.select("id").distinct())
@@ -229,13 +242,12 @@ def pagerank(g: PropertyGraph, max_iter: int = 20, tol: float | None = None,
                .select("id", (F.lit(reset_prob) + F.lit(1 - reset_prob) * F.coalesce("s", F.lit(0.0)))
                        .alias("rank")))
         if tol is not None:
-            new = _checkpoint(new.join(ranks.withColumnRenamed("rank", "old"), "id")
-                              .select("id", "rank", F.abs(F.col("rank") - F.col("old")).alias("delta")))
-            delta = new.agg(F.max("delta")).first()[0]
+            step = new.join(ranks.withColumnRenamed("rank", "old"), "id").select(
+                "id", "rank", F.abs(F.col("rank") - F.col("old")).alias("delta"))
+            new, delta = _checkpoint(step, F.max("delta"))
             ranks = new.select("id", "rank")
             if delta is not None and delta < tol:
                 break
         else:
             ranks = _checkpoint(new) if (i + 1) % checkpoint_every == 0 else new
-    del spark
     return ranks, rounds
