@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.session import scratch_path
+from kestrel.operators.materialize import materialize
 
 # Frontier/message tables up to this many rows are broadcast into the edge
 # join (their size is counted every round anyway).
@@ -152,26 +152,8 @@ def oldest_follower(g: PropertyGraph, name: str = "name", age: str = "age") -> D
 # ----------------------------------------------------------------------------- iterative
 
 def _checkpoint(df: DataFrame, metric: Column | None = None):
-    """Materialise a round as parquet in the shared checkpoint folder and read
-    it back. This cuts lineage *and* the logical plan (a checkpointed frame
-    keeps its origin plan for statistics, and loops that use the previous
-    round twice make that chain double every round). It survives executor
-    loss; a machine-local checkpoint is never used.
-
-    With ``metric`` (an aggregate Column) the value is observed during the
-    same write, saving a separate counting job; returns (frame, value)."""
-    from pyspark.sql import Observation
-    spark = df.sparkSession
-    path = scratch_path(spark, "round")
-    obs = None
-    if metric is not None:
-        obs = Observation()
-        df = df.observe(obs, metric.alias("m"))
-    df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
-    if obs is None:
-        return out
-    return out, obs.get.get("m")
+    """Materialise one round (see :func:`kestrel.operators.materialize.materialize`)."""
+    return materialize(df, "round", metric)
 
 
 def _join_frontier(edges: DataFrame, frontier: DataFrame, n: int) -> DataFrame:

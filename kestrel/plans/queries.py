@@ -10,11 +10,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.functions import aggregates as A
-from kestrel.operators import layout, ranking, sales, text, weblog
-from kestrel.sources import derived, readers, schemas
+from kestrel.operators import graph as G
+from kestrel.operators import layout, ml, ranking, sales, text, weblog
+from kestrel.operators.materialize import materialize
+from kestrel.session import scratch_path
+from kestrel.sources import derived, readers, schemas, writers
 from kestrel.sources.tables import table
+from kestrel.streaming import runners as R
+from kestrel.streaming import transforms as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -148,7 +154,6 @@ def q_partition_layout(spark, sf_dir):
 
 
 # --- graph (G1-G15, J3-J6, A13-A15) ----------------------------------------------
-from kestrel.operators import graph as G  # noqa: E402
 
 
 def _g(spark, sf_dir):
@@ -243,10 +248,6 @@ def q_graph_pagerank_top(spark, sf_dir):
 
 
 # --- streaming (S20-S23, T1-T8) ----------------------------------------------------
-from pyspark.sql import types as T  # noqa: E402
-
-from kestrel.streaming import runners as R  # noqa: E402
-from kestrel.streaming import transforms as ST  # noqa: E402
 
 _WINDOW_SCHEMA = T.StructType([T.StructField("window_start", T.StringType()),
                                T.StructField("window_end", T.StringType()),
@@ -282,7 +283,6 @@ _WORD_SCHEMA = T.StructType([T.StructField("word", T.StringType()), T.StructFiel
 
 @register("stream_word_count")
 def q_stream_word_count(spark, sf_dir):
-    from kestrel.session import scratch_path
     base = scratch_path(spark, "stream_word_count")
     write = R.batch_writer(f"{base}/data")
 
@@ -322,7 +322,6 @@ def _topic_records(df):
 
 
 def _run_ledger(spark, stream, name):
-    from kestrel.session import scratch_path
     base = scratch_path(spark, name)
     write = R.batch_writer(f"{base}/ledger")
 
@@ -357,7 +356,6 @@ def q_offset_resume(spark, sf_dir):
 
 
 # --- machine learning (M1-M11, S9, S11, S12, S24, A11, A12, J2) --------------------
-from kestrel.operators import ml  # noqa: E402
 
 
 def _points(spark, sf_dir):
@@ -383,28 +381,37 @@ def q_kmeans_cost(spark, sf_dir):
 def q_model_round_trip(spark, sf_dir):
     from pyspark.ml.clustering import KMeansModel
 
-    from kestrel.session import scratch_path
     pts = _points(spark, sf_dir)
     path = scratch_path(spark, "kmeans_model")
     ml.kmeans_fit(pts, k=2, max_iter=20, seed=1).write().overwrite().save(path)
     return KMeansModel.load(path).transform(pts).select("vec_id", "cluster")
 
 
-def _shipping_points(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    days = F.datediff(F.to_date("l_shipdate"), F.lit("1970-01-01").cast("date")).cast("double")
-    feats = F.array(F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_discount"),
-                    F.col("l_tax"), days)
-    return li.select("l_orderkey", "l_linenumber", "l_partkey",
-                     (F.col("l_linestatus") == "F").cast("double").alias("label"),
-                     ml.as_vector(feats).alias("features"))
+def _doc_points(spark, sf_dir):
+    """Labelled documents with whole-text features: length, line count and the
+    shares of upper-case, digit and non-letter characters (JVM built-ins)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    t = F.col("text")
+    n = F.greatest(F.length(t), F.lit(1)).cast("double")
+
+    def share(pattern):
+        return F.length(F.regexp_replace(t, pattern, "")).cast("double") / n
+
+    feats = F.array(F.col("n_chars").cast("double"), F.size(F.split(t, "\n")).cast("double"),
+                    share("[^A-Z]"), share("[^0-9]"), share("[a-zA-Z ]"))
+    return (labels.join(docs, "doc_id")
+            .select("doc_id", F.col("quality").cast("double").alias("label"),
+                    ml.as_vector(feats).alias("features")))
 
 
 @register("tree_error")
 def q_tree_error(spark, sf_dir):
-    train, test = ml.hash_split(_shipping_points(spark, sf_dir),
-                                ["l_orderkey", "l_linenumber", "l_partkey"], 7)
+    from pyspark import StorageLevel
+    train, test = ml.hash_split(_doc_points(spark, sf_dir), ["doc_id"], 7)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)   # the fit scans it once per level
     model = ml.tree_fit(train, max_depth=5, max_bins=32, impurity="gini")
+    train.unpersist()
     return ml.error_rate(model.transform(test))
 
 
@@ -418,10 +425,11 @@ def _ratings(spark, sf_dir):
 
 @register("als_fit_score")
 def q_als_fit_score(spark, sf_dir):
-    ratings = _ratings(spark, sf_dir)
+    ratings = materialize(_ratings(spark, sf_dir), "ratings")   # read by fit and scoring
     model = ml.als_fit(ratings, rank=50, max_iter=10, reg=0.01, seed=0)
-    pred = model.transform(ratings.select("user", "item"))
-    return ml.mse(ml.score_against(ratings, pred), "rating", "prediction")
+    # transform keeps (user, item, rating), so actual and predicted already
+    # sit side by side; no second join on the composite key is needed
+    return ml.mse(model.transform(ratings), "rating", "prediction")
 
 
 @register("frequent_itemsets")
@@ -460,12 +468,10 @@ def q_linreg_sgd(spark, sf_dir):
 
 
 # --- round trips through sinks (S17, S18) ---------------------------------------------
-from kestrel.sources import writers  # noqa: E402
 
 
 @register("table_round_trip")
 def q_table_round_trip(spark, sf_dir):
-    from kestrel.session import scratch_path
     nation = table(spark, sf_dir, "nation")
     return writers.replace_table(spark, "kestrel_nation", nation,
                                  path=scratch_path(spark, "kestrel_nation"))
@@ -473,7 +479,6 @@ def q_table_round_trip(spark, sf_dir):
 
 @register("text_round_trip")
 def q_text_round_trip(spark, sf_dir):
-    from kestrel.session import scratch_path
     counts = text.word_count(text.document_lines(table(spark, sf_dir, "documents").select("text")))
     path = scratch_path(spark, "word_count_text")
     writers.write_text(text.word_count_lines_text(counts), path)
