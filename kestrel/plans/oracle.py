@@ -237,7 +237,7 @@ SELECT word, count(*) AS n, CAST(0 AS BIGINT) AS batch_id FROM toks GROUP BY wor
 
 ORACLE["running_totals"] = f"WITH {_CONV_WORDS} SELECT word, count(*) AS n FROM toks GROUP BY word"
 
-ORACLE["stream_relay"] = "SELECT 'hcx:' || coalesce(text, 'null') AS value FROM conversations"
+ORACLE["stream_relay"] = "SELECT 'relay:' || coalesce(text, 'null') AS value FROM conversations"
 
 ORACLE["offset_ledger"] = """
 SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition,

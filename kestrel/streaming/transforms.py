@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from kestrel.functions.text import split_on_space
 from kestrel.functions.time import ntz_as_utc, utc_text
 
-# --- fixed values ---------------------------------------------------------------
-RELAY_PREFIX = "hcx:"        # prefix the relay puts before every message value
-# ----------------------------------------------------------------------------------
+# Default text the relay puts before every message value; pass ``prefix`` to
+# use another one.
+RELAY_PREFIX = "relay:"
 
 
 def words(lines: DataFrame, col: str = "value") -> DataFrame:

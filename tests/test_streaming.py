@@ -63,7 +63,7 @@ def test_relay_restart_adds_no_batch(spark, tmp_path):
     out = str(tmp_path / "out")
     data = R.run_to_folder(spark, ST.relay(_stream(spark, src, schema)), "r", out=out)
     first = sorted(r["value"] for r in R.read_batches(spark, data, schema).collect())
-    assert first == ["hcx:null", "hcx:x", "hcx:y"]
+    assert first == ["relay:null", "relay:x", "relay:y"]
     R.run_to_folder(spark, ST.relay(_stream(spark, src, schema)), "r", out=out)
     assert R.read_batches(spark, data, schema).count() == 3
 
