@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kestrel.functions.time import ntz_as_utc
 from kestrel.sources.tables import table
 
 # --- fixed values for the synthetic log layouts -----------------------------
@@ -63,7 +64,7 @@ def ad_click_lines(events: DataFrame) -> DataFrame:
     """Space-delimited ad-click lines ``timestamp province city uid adid``
     (epoch seconds first), the layout the ad ranking job parses."""
     line = F.concat_ws(" ",
-                       _s(F.unix_timestamp(F.col("ts").cast("timestamp"))),
+                       _s(F.unix_seconds(ntz_as_utc("ts"))),
                        _s(F.col("user_id") % ADS_PROVINCES),
                        _s(F.col("user_id") % ADS_CITIES),
                        _s(F.col("user_id")),
