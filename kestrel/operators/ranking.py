@@ -26,3 +26,10 @@ def rank_per_group(df: DataFrame, keys: Sequence[str], order_col: str, k: int,
     w = Window.partitionBy(*keys).orderBy(primary, *[F.asc(c) for c in tie_break])
     return (df.withColumn(rank_col, F.row_number().over(w))
             .where(F.col(rank_col) <= k))
+
+
+def nest(df: DataFrame, keys: Sequence[str], cols: Sequence[str], name: str = "value") -> DataFrame:
+    """Reshape to ``(keys..., name: struct<cols...>)`` (the nested
+    key/(a, b) pair layout). Plans stay flat; this is for consumers that want
+    the nested record."""
+    return df.select(*keys, F.struct(*cols).alias(name))

@@ -68,3 +68,13 @@ def test_itemsets_are_anti_monotone(spark):
         for k in range(1, len(items)):
             for sub in combinations(items, k):
                 assert freq[frozenset(sub)] >= f
+
+
+def test_nest_and_tree_printout(spark):
+    from kestrel.operators import ranking
+    df = spark.createDataFrame([(1, 10, 3)], "province int, adid int, clicks bigint")
+    r = ranking.nest(df, ["province"], ["adid", "clicks"]).first()
+    assert r["province"] == 1 and r["value"]["adid"] == 10 and r["value"]["clicks"] == 3
+    pts = spark.createDataFrame([(float(i % 2), float(i % 2)) for i in range(20)], "label double, x double")
+    pts = pts.select("label", ml.as_vector(F.array("x")).alias("features"))
+    assert "If (feature 0" in ml.tree_debug_string(ml.tree_fit(pts))
