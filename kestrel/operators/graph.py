@@ -168,9 +168,9 @@ def shortest_paths(g: PropertyGraph, source, weight: str = "weight",
     reference's pregel run). Unreachable vertices get NULL. Returns the
     distances and the number of rounds run.
 
-    Each round: frontier ⋈ edges on src -> min candidate per dst -> merge
-    with the reached set (full outer join on id) -> vertices whose distance
-    fell form the next frontier. Only reached vertices are carried between
+    Each round: frontier ⋈ edges on src -> candidates, unioned with the
+    reached set and reduced by one grouped ``min`` per vertex (a single
+    shuffle) -> vertices whose distance fell form the next frontier. Only reached vertices are carried between
     rounds; the size of the frontier is observed while the round is written
     (no extra job), and the frontier is broadcast when that size allows."""
     edges = _checkpoint(g.edges.select("src", "dst", F.col(weight).cast("double").alias("w"))
@@ -183,10 +183,14 @@ def shortest_paths(g: PropertyGraph, source, weight: str = "weight",
     while n and rounds < max_rounds:
         rounds += 1
         frontier = reached.where("changed").select(F.col("id").alias("src"), F.col("dist").alias("sdist"))
-        cand = (_join_frontier(edges, frontier, n)
-                .groupBy(F.col("dst").alias("id"))
-                .agg(F.min(F.col("sdist") + F.col("w")).alias("cand")))
-        merged = reached.select("id", "dist").join(cand, "id", "full")
+        msgs = (_join_frontier(edges, frontier, n)
+                .select(F.col("dst").alias("id"), F.lit(None).cast("double").alias("dist"),
+                        (F.col("sdist") + F.col("w")).alias("cand")))
+        prev = reached.select("id", "dist", F.lit(None).cast("double").alias("cand"))
+        # one grouped aggregation (partial per task, one shuffle) merges the
+        # reached set with the best candidate of every receiver
+        merged = (prev.unionByName(msgs).groupBy("id")
+                  .agg(F.min("dist").alias("dist"), F.min("cand").alias("cand")))
         better = F.col("cand").isNotNull() & (F.col("dist").isNull() | (F.col("cand") < F.col("dist")))
         nxt = merged.select("id", F.when(better, F.col("cand")).otherwise(F.col("dist")).alias("dist"),
                             better.alias("changed"))
@@ -196,40 +200,51 @@ def shortest_paths(g: PropertyGraph, source, weight: str = "weight",
     return dist, rounds
 
 
+# Rank tables up to this many rows (one per vertex, counted once) are
+# broadcast into the edge scan, so the edge table is never shuffled.
+BROADCAST_RANK_ROWS = 5_000_000
+
+
 def pagerank(g: PropertyGraph, max_iter: int = 20, tol: float | None = None,
-             reset_prob: float = 0.15, checkpoint_every: int = 5) -> tuple[DataFrame, int]:
+             reset_prob: float = 0.15, checkpoint_every: int = 1) -> tuple[DataFrame, int]:
     """Unnormalised PageRank: rank = reset + (1 - reset) * Σ rank(src)/outdeg(src),
     starting from 1.0 everywhere. Runs ``max_iter`` rounds, or stops earlier
     once the largest change is below ``tol``. Returns (id, rank) and the
     number of rounds run.
 
-    Out-degrees are attached to the edges once; every round is one join of
-    the edge table with the rank table on src (a hub's edges can be split by
-    AQE's skew handling), a grouped sum on dst (partial aggregation, so hub
-    destinations are fine) and a join back to all vertices. With ``tol`` each
-    round is materialised and its largest change observed during that write;
-    without it, a round is materialised every ``checkpoint_every`` rounds
-    (the plan grows linearly in between, nothing is recomputed)."""
+    Out-degrees are attached to the edges once. Each round joins the edges
+    with the rank table on src: by broadcast when the vertex count (counted
+    once) proves the rank table small, so the edge table is never shuffled;
+    otherwise by a shuffled join whose hot keys AQE can split. The
+    contributions, unioned with the previous ranks, are reduced by one grouped
+    aggregation per vertex (partial per task, a single shuffle) that yields
+    the new rank and its change. With ``tol`` every round is materialised and
+    its largest change observed during that write; without it a round is
+    materialised every ``checkpoint_every`` rounds (keep 1: a round reads the
+    previous ranks twice, so unmaterialised rounds would double the plan)."""
     outdeg = g.edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
     edges = _checkpoint(g.edges.select("src", "dst").join(outdeg, "src"))
-    ids = _checkpoint(g.vertices.select("id").distinct())
-    ranks = ids.select("id", F.lit(1.0).alias("rank"))
+    ranks, n_vertices = _checkpoint(g.vertices.select("id").distinct()
+                                    .select("id", F.lit(1.0).alias("rank")), F.count(F.lit(1)))
+    small = (n_vertices or 0) <= BROADCAST_RANK_ROWS
     rounds = 0
     for i in range(max_iter):
         rounds += 1
-        contrib = (edges.join(ranks.withColumnRenamed("id", "src"), "src")
-                   .groupBy(F.col("dst").alias("id"))
-                   .agg(F.sum(F.col("rank") / F.col("deg")).alias("s")))
-        new = (ids.join(contrib, "id", "left")
-               .select("id", (F.lit(reset_prob) + F.lit(1 - reset_prob) * F.coalesce("s", F.lit(0.0)))
-                       .alias("rank")))
+        src_ranks = ranks.select(F.col("id").alias("src"), F.col("rank").alias("src_rank"))
+        msgs = (edges.join(F.broadcast(src_ranks) if small else src_ranks, "src")
+                .select(F.col("dst").alias("id"), (F.col("src_rank") / F.col("deg")).alias("c"),
+                        F.lit(None).cast("double").alias("old")))
+        prev = ranks.select("id", F.lit(0.0).alias("c"), F.col("rank").alias("old"))
+        agg = (prev.unionByName(msgs).groupBy("id")
+               .agg(F.sum("c").alias("s"), F.max("old").alias("old")))
+        rank = F.lit(reset_prob) + F.lit(1 - reset_prob) * F.col("s")
         if tol is not None:
-            step = new.join(ranks.withColumnRenamed("rank", "old"), "id").select(
-                "id", "rank", F.abs(F.col("rank") - F.col("old")).alias("delta"))
+            step = agg.select("id", rank.alias("rank"), F.abs(rank - F.col("old")).alias("delta"))
             new, delta = _checkpoint(step, F.max("delta"))
             ranks = new.select("id", "rank")
             if delta is not None and delta < tol:
                 break
         else:
+            new = agg.select("id", rank.alias("rank"))
             ranks = _checkpoint(new) if (i + 1) % checkpoint_every == 0 else new
     return ranks, rounds
