@@ -35,3 +35,17 @@ def test_against_duckdb_sf0001(spark, key):
     assert sorted(dcols) == cols
     drows = sorted(tuple(_norm(dict(zip(dcols, r))[c]) for c in cols) for r in res.fetchall())
     assert srows == drows
+
+
+@pytest.mark.parametrize("key", ["tumbling_counts", "sliding_counts", "star_sales", "hour_flow", "offset_resume"])
+def test_results_do_not_depend_on_session_time_zone(spark, key):
+    def run():
+        df = E.queries()[key](spark, SF)
+        cols = sorted(df.columns)
+        return sorted(tuple(_norm(r[c]) for c in cols) for r in df.collect())
+    utc = run()
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert run() == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
