@@ -206,7 +206,7 @@ BROADCAST_RANK_ROWS = 5_000_000
 
 
 def pagerank(g: PropertyGraph, max_iter: int = 20, tol: float | None = None,
-             reset_prob: float = 0.15, checkpoint_every: int = 1) -> tuple[DataFrame, int]:
+             reset_prob: float = 0.15, checkpoint_every: int = 5) -> tuple[DataFrame, int]:
     """Unnormalised PageRank: rank = reset + (1 - reset) * Σ rank(src)/outdeg(src),
     starting from 1.0 everywhere. Runs ``max_iter`` rounds, or stops earlier
     once the largest change is below ``tol``. Returns (id, rank) and the
@@ -216,17 +216,18 @@ def pagerank(g: PropertyGraph, max_iter: int = 20, tol: float | None = None,
     with the rank table on src: by broadcast when the vertex count (counted
     once) proves the rank table small, so the edge table is never shuffled;
     otherwise by a shuffled join whose hot keys AQE can split. The
-    contributions, unioned with the previous ranks, are reduced by one grouped
-    aggregation per vertex (partial per task, a single shuffle) that yields
-    the new rank and its change. With ``tol`` every round is materialised and
-    its largest change observed during that write; without it a round is
-    materialised every ``checkpoint_every`` rounds (keep 1: a round reads the
-    previous ranks twice, so unmaterialised rounds would double the plan)."""
+    contributions, unioned with one zero row per vertex, are reduced by one
+    grouped aggregation per vertex (partial per task, a single shuffle).
+
+    With ``tol`` the zero rows carry the previous rank, every round is
+    materialised and its largest change observed during that write. Without
+    it a round reads the previous ranks once, so the plan grows linearly and a
+    round is materialised every ``checkpoint_every`` rounds."""
     outdeg = g.edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
     edges = _checkpoint(g.edges.select("src", "dst").join(outdeg, "src"))
-    ranks, n_vertices = _checkpoint(g.vertices.select("id").distinct()
-                                    .select("id", F.lit(1.0).alias("rank")), F.count(F.lit(1)))
+    ids, n_vertices = _checkpoint(g.vertices.select("id").distinct(), F.count(F.lit(1)))
     small = (n_vertices or 0) <= BROADCAST_RANK_ROWS
+    ranks = ids.select("id", F.lit(1.0).alias("rank"))
     rounds = 0
     for i in range(max_iter):
         rounds += 1
@@ -234,7 +235,8 @@ def pagerank(g: PropertyGraph, max_iter: int = 20, tol: float | None = None,
         msgs = (edges.join(F.broadcast(src_ranks) if small else src_ranks, "src")
                 .select(F.col("dst").alias("id"), (F.col("src_rank") / F.col("deg")).alias("c"),
                         F.lit(None).cast("double").alias("old")))
-        prev = ranks.select("id", F.lit(0.0).alias("c"), F.col("rank").alias("old"))
+        base = ranks if tol is not None else ids.select("id", F.lit(None).cast("double").alias("rank"))
+        prev = base.select("id", F.lit(0.0).alias("c"), F.col("rank").alias("old"))
         agg = (prev.unionByName(msgs).groupBy("id")
                .agg(F.sum("c").alias("s"), F.max("old").alias("old")))
         rank = F.lit(reset_prob) + F.lit(1 - reset_prob) * F.col("s")
