@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.operators.materialize import materialize
+from kestrel.operators.materialize import materialize, release
 
 # Frontier/message tables up to this many rows are broadcast into the edge
 # join (their size is counted every round anyway).
@@ -194,7 +194,9 @@ def shortest_paths(g: PropertyGraph, source, weight: str = "weight",
         better = F.col("cand").isNotNull() & (F.col("dist").isNull() | (F.col("cand") < F.col("dist")))
         nxt = merged.select("id", F.when(better, F.col("cand")).otherwise(F.col("dist")).alias("dist"),
                             better.alias("changed"))
+        previous = reached
         reached, n = _checkpoint(nxt, F.sum(F.col("changed").cast("long")))
+        release(previous)   # superseded round; the new one no longer reads it
     del spark
     dist = g.vertices.select("id").join(reached.select("id", "dist"), "id", "left")
     return dist, rounds
@@ -228,6 +230,7 @@ def pagerank(g: PropertyGraph, max_iter: int = 20, tol: float | None = None,
     ids, n_vertices = _checkpoint(g.vertices.select("id").distinct(), F.count(F.lit(1)))
     small = (n_vertices or 0) <= BROADCAST_RANK_ROWS
     ranks = ids.select("id", F.lit(1.0).alias("rank"))
+    last = None   # newest materialised round; released when superseded
     rounds = 0
     for i in range(max_iter):
         rounds += 1
@@ -243,10 +246,17 @@ def pagerank(g: PropertyGraph, max_iter: int = 20, tol: float | None = None,
         if tol is not None:
             step = agg.select("id", rank.alias("rank"), F.abs(rank - F.col("old")).alias("delta"))
             new, delta = _checkpoint(step, F.max("delta"))
+            release(last)
+            last = new
             ranks = new.select("id", "rank")
             if delta is not None and delta < tol:
                 break
         else:
             new = agg.select("id", rank.alias("rank"))
-            ranks = _checkpoint(new) if (i + 1) % checkpoint_every == 0 else new
+            if (i + 1) % checkpoint_every == 0:
+                ranks = _checkpoint(new)
+                release(last)
+                last = ranks
+            else:
+                ranks = new
     return ranks, rounds

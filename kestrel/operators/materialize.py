@@ -25,6 +25,20 @@ def materialize(df: DataFrame, name: str = "round", metric: Column | None = None
         df = df.observe(obs, metric.alias("m"))
     df.write.mode("overwrite").parquet(path)
     out = spark.read.parquet(path)
+    out._kestrel_path = path  # lets a loop release the folder once it is superseded
     if obs is None:
         return out
     return out, obs.get.get("m")
+
+
+def release(df: DataFrame | None) -> None:
+    """Delete the folder behind a frame returned by :func:`materialize`, once
+    nothing reads it any more (e.g. the previous round of a loop, after the
+    next round has been written from it). Other frames are left alone."""
+    path = getattr(df, "_kestrel_path", None) if df is not None else None
+    if not path:
+        return
+    jvm = df.sparkSession._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    conf = df.sparkSession._jsc.hadoopConfiguration()
+    hpath.getFileSystem(conf).delete(hpath, True)

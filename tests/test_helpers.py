@@ -78,3 +78,16 @@ def test_nest_and_tree_printout(spark):
     pts = spark.createDataFrame([(float(i % 2), float(i % 2)) for i in range(20)], "label double, x double")
     pts = pts.select("label", ml.as_vector(F.array("x")).alias("features"))
     assert "If (feature 0" in ml.tree_debug_string(ml.tree_fit(pts))
+
+
+def test_release_deletes_only_materialized_folder(spark):
+    import os
+
+    from kestrel.operators.materialize import release
+    out = materialize(spark.range(10), "rel")
+    path = out._kestrel_path
+    local = path.replace("file:", "")
+    assert os.path.exists(local)
+    release(out)
+    assert not os.path.exists(local)
+    release(spark.range(3))   # not materialised: nothing happens
