@@ -31,12 +31,12 @@ def ip_hits(lines: DataFrame, k: int = 10) -> DataFrame:
     """Requests per IP, the ``k`` most frequent (ties by IP). Lines without an
     IP are skipped instead of failing the job.
 
-    Filters on regex results are applied after the aggregation (dropping the
-    NULL group): a filter on a projected regex column would be pushed below
-    the projection and evaluate the regex twice per line."""
+    The NULL group is dropped after the aggregation through an aggregate
+    (``count(ip) = 0`` only there): a filter on the grouping column itself
+    would be pushed below the projection and evaluate the regex twice."""
     counts = (lines.select(W.extract_ip(F.col("value")).alias("ip"))
-              .groupBy("ip").agg(F.count(F.lit(1)).alias("hits"))
-              .where(F.col("ip").isNotNull()))
+              .groupBy("ip").agg(F.count(F.lit(1)).alias("hits"), F.count("ip").alias("_n"))
+              .where(F.col("_n") > 0).drop("_n"))
     return top_k(counts, [F.desc("hits"), F.asc("ip")], k)
 
 
@@ -75,9 +75,12 @@ def hour_flow(lines: DataFrame, year: str = W.DEFAULT_LOG_YEAR) -> DataFrame:
     keeping only hours with counted sizes equals filtering the lines first."""
     v = F.col("value")
     parsed = lines.select(W.extract_hour(v, year).alias("hour"), W.extract_size(v).alias("bytes"))
+    # count(hour) is 0 only for the NULL hour; filtering on it (not on the
+    # grouping column) keeps the hour regex from being pushed into a filter
     return (parsed.groupBy("hour")
-            .agg(F.sum("bytes").alias("bytes"), F.count("bytes").alias("requests"))
-            .where(F.col("hour").isNotNull() & (F.col("requests") > 0))
+            .agg(F.sum("bytes").alias("bytes"), F.count("bytes").alias("requests"),
+                 F.count("hour").alias("_nh"))
+            .where((F.col("_nh") > 0) & (F.col("requests") > 0))
             .withColumn("gib", F.expr(f"bytes div {W.GIB}"))
             .select("hour", "bytes", "gib", "requests")
             .orderBy("hour"))
