@@ -81,3 +81,35 @@ def test_offset_ranges_and_resume(spark):
     js = ST.starting_offsets_json(ST.resume_positions(ledger, earliest)).first()[0]
     import json
     assert json.loads(js)["t"] == {"0": 10, "1": 50}
+
+
+def test_late_rows_behind_the_watermark_are_dropped(spark, tmp_path):
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+    files = [[(t0 + dt.timedelta(seconds=1), "a")],
+             [(t0 + dt.timedelta(minutes=10), "b")],      # advances the watermark
+             [(t0 + dt.timedelta(minutes=10, seconds=1), "b")],
+             [(t0 + dt.timedelta(minutes=10, seconds=2), "b")],
+             [(t0 + dt.timedelta(seconds=2), "a")]]       # far behind the watermark
+    src = _write_files(spark, str(tmp_path / "in"), files, LINE_SCHEMA)
+    s = ST.with_event_time(_stream(spark, src, LINE_SCHEMA), delay="10 seconds")
+    counts = ST.window_counts(s.withColumnRenamed("line", "word"), "word", "6 seconds")
+    data = R.run_to_folder(spark, counts, "late", output_mode="update", out=str(tmp_path / "out"))
+    schema = T.StructType([T.StructField("window_start", T.StringType()),
+                           T.StructField("window_end", T.StringType()),
+                           T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
+    final = R.latest_per_key(R.read_batches(spark, data, schema), ["window_start", "word"], ["n"])
+    got = {(r["window_start"][11:], r["word"]): r["n"] for r in final.collect()}
+    assert got[("00:00:00", "a")] == 1          # the late "a" is not counted
+    assert got[("00:10:00", "b")] == 3
+
+
+def test_replayed_batch_overwrites_its_own_output(spark, tmp_path):
+    schema = T.StructType([T.StructField("value", T.StringType())])
+    write = R.batch_writer(str(tmp_path / "data"))
+    batch = spark.createDataFrame([("x",), ("y",)], schema)
+    write(batch, 0)
+    write(batch, 0)          # the same batch again after a failure
+    write(batch.limit(1), 1)
+    got = R.read_batches(spark, str(tmp_path / "data"), schema)
+    assert got.count() == 3
+    assert sorted(r[0] for r in got.select("batch_id").distinct().collect()) == [0, 1]
