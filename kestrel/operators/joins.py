@@ -5,15 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.operators.materialize import materialize, release
+
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join with ``small`` broadcast only when a bounded count proves it has at
-    most ``max_rows`` rows; otherwise a plain (shuffled) join, which AQE may
-    still turn into a broadcast from runtime sizes. The check scans at most
-    ``max_rows + 1`` rows of ``small``."""
-    n = small.limit(max_rows + 1).count()
-    side = F.broadcast(small) if n <= max_rows else small
-    return big.join(side, on, how)
+    """Join with ``small`` broadcast only when it is proven to hold at most
+    ``max_rows`` rows; otherwise a plain (shuffled) join, which AQE may still
+    turn into a broadcast from runtime sizes.
+
+    The proof writes at most ``max_rows + 1`` rows of ``small`` to the shared
+    checkpoint folder and counts them during that write. When the bound
+    holds, that copy is what gets broadcast, so ``small`` (often itself an
+    aggregate over a large table) is computed once."""
+    probe, n = materialize(small.limit(max_rows + 1), "small_side", F.count(F.lit(1)))
+    if (n or 0) <= max_rows:
+        return big.join(F.broadcast(probe), on, how)
+    release(probe)
+    return big.join(small, on, how)
