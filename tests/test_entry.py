@@ -49,3 +49,10 @@ def test_results_do_not_depend_on_session_time_zone(spark, key):
         assert run() == utc
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_readme_maps_every_registered_query():
+    import os
+    readme = open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "README.md")).read()
+    missing = [k for k in E.queries() if k not in readme]
+    assert not missing, missing
