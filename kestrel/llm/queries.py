@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import quality, simhash
+from kestrel.llm import bpe, quality, secrets, simhash, tokenbin
 from kestrel.llm.common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,24 @@ def register(name: str):
     return deco
 
 
+@register("op1_secret_scan")
+def op1(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents"), path="source")
+    return found.select("doc_id", "start", "end", "candidate", "score", "is_secret")
+
+
+@register("op5_token_binary")
+def op5(spark, sf_dir):
+    back = tokenbin.round_trip(spark, table(spark, sf_dir, "documents"), end_id=2)
+    return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.crc32("ids").alias("ids_crc32"))
+
+
+@register("op6_bpe_codec")
+def op6(spark, sf_dir):
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents")))
+
+
 @register("op7_simhash_dedup")
 def op7(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
