@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, quality, secrets, simhash, tokenbin
-from kestrel.llm.common import importable, table
+from kestrel.llm import bpe, mixing, quality, secrets, sharding, simhash, syncmers, tokenbin, topk, warc
+from kestrel.llm.common import importable, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,6 +33,51 @@ def op1(spark, sf_dir):
     return found.select("doc_id", "start", "end", "candidate", "score", "is_secret")
 
 
+@register("op2_topk_search")
+def op2(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
+ORACLE["op2_topk_search"] = """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64.0 * x::DOUBLE)) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.w, c.w)::BIGINT AS score
+  FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 20
+"""
+
+
+@register("op3_warc_normaliser")
+def op3(spark, sf_dir):
+    back = warc.archive(spark, table(spark, sf_dir, "pages"), least=100)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op3_warc_normaliser"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS bytes, sha256(coalesce(html, '')) AS digest FROM pages
+), f AS (
+  SELECT digest, min(page_id) AS first FROM p WHERE bytes >= 100 GROUP BY digest
+)
+SELECT p.page_id, p.bytes::BIGINT AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN p.page_id <> f.first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id <> f.first THEN f.first END AS refers_to
+FROM p LEFT JOIN f ON p.digest = f.digest AND p.bytes >= 100
+"""
+
+
+@register("op4_source_mixing")
+def op4(spark, sf_dir):
+    plan = mixing.draw(table(spark, sf_dir, "documents"), weights=(3, 1, 2), budget=1.5, epochs=2, shards=8)
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @register("op5_token_binary")
 def op5(spark, sf_dir):
     back = tokenbin.round_trip(spark, table(spark, sf_dir, "documents"), end_id=2)
@@ -55,3 +100,17 @@ def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.quality_model(spark, docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, model).select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@register("op8_syncmer_fingerprints")
+def op8(spark, sf_dir):
+    return syncmers.edited_copies(table(spark, sf_dir, "documents"))
+
+
+@register("op10_shuffle_shards")
+def op10(spark, sf_dir):
+    placed = sharding.shuffled(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=8, law="key")
+    written = sharding.write(placed, scratch_path(spark, "shards"))
+    return written.select("doc_id", sharding.size_of(F.col("text")).alias("size"),
+                          F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
+                          "law", "shard", "slot", "grown_shard")
