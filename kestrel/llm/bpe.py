@@ -10,7 +10,7 @@ Cuts ignore token boundaries, so ids at a chunk join may be wrong. Every join is
 repaired: the last words of the left and the first words of the right side are
 re-encoded together, and the new ids are taken once they agree exactly with the
 kept ids of the outermost word on both sides. Until they agree the window
-doubles; a window that reaches both ends is a plain encoding of the whole.
+doubles; if the kept edges of the chunks do not suffice, the text is encoded whole.
 
 Decoding joins the token strings of the ids as the library does for a vocabulary
 without a decoder, and calls the library for any other.
@@ -35,7 +35,8 @@ from kestrel.llm.tokens import _SEPARATORS, default_tokenizer, word_ids
 WINDOW = 24
 CUT_BITS = 9  # chunks of about 2**CUT_BITS code points
 LONGEST = 8192
-CHUNKS_CHARS = 24_000_000
+CHUNKS_CHARS = 10_000_000
+EDGE = 4  # words kept one by one at each end of a chunk
 
 
 def cuts(text: str) -> list[int]:
@@ -54,13 +55,20 @@ def cuts(text: str) -> list[int]:
     return out
 
 
+Pieces = list[tuple[str, bytes]]  # words and their ids
+
+
 class Chunk:
-    """Ids of a chunk by its words; words are runs of non-space."""
+    """Ids of a chunk: its first and last ``EDGE`` words one by one, the rest joined."""
 
-    __slots__ = ("words", "ids")
+    __slots__ = ("head", "middle", "tail")
 
     def __init__(self, words: list[str], ids: list[bytes]):
-        self.words, self.ids = words, ids
+        both = list(zip(words, ids))
+        short = len(both) <= 2 * EDGE
+        self.head: Pieces = both if short else both[:EDGE]
+        self.middle = b"" if short else b"".join(ids[EDGE:-EDGE])
+        self.tail: Pieces = [] if short else both[-EDGE:]
 
 
 class ChunkEncoder:
@@ -86,43 +94,55 @@ class ChunkEncoder:
             return b""
         if not self.base.by_words or any(c in text for c in _SEPARATORS):
             return self.base.whole([text])[0]
+        done: list[bytes] = []
+        last: Pieces = []  # the words before the next join, not yet in ``done``
+        apart = True
         at = cuts(text)
-        ids: list[bytes] = []
-        words: list[str] = []
         for start, end in zip(at, at[1:]):
             part = self.chunk(text[start:end])
-            if start and part.words and words:
-                joined = not (text[start - 1].isspace() or text[start].isspace())
-                self._repair(words, ids, part, joined)
+            apart = apart or text[start - 1].isspace() or text[start].isspace()
+            if not part.head:
+                apart = True  # all white space: the join is between words
+                continue
+            head = part.head
+            if last:
+                merged = self._repair(last, head, not apart)
+                if merged is None:
+                    return self.base.whole([text])[0]
+                head = merged
+            if part.tail:
+                done += [ids for _, ids in head]
+                done.append(part.middle)
+                last = part.tail
             else:
-                words += part.words
-                ids += part.ids
-        return b"".join(ids)
-
-    def _repair(self, words: list[str], ids: list[bytes], part: Chunk, joined: bool) -> None:
-        """Append ``part`` and re-encode around the join until both sides agree.
-
-        ``joined``: the cut went through a word, whose halves are one word now."""
+                last = head
+            done += [ids for _, ids in last[:-EDGE]]
+            last = last[-EDGE:]
+            apart = False
+        return b"".join(done + [ids for _, ids in last])
+
+    def _repair(self, left: Pieces, right: Pieces, joined: bool) -> Pieces | None:
+        """The words of both sides with the ids around their join re-encoded; None
+        if no window of the kept words agrees. ``joined``: the cut went through a
+        word, whose halves are one word now."""
         reach = 2
         while True:
-            left, right = min(reach, len(words)), min(reach, len(part.words))
-            split = len(words) - left
-            inner = words[split:-1] + [words[-1] + part.words[0]] + part.words[1:right] if joined \
-                else words[split:] + part.words[:right]
-            fresh = self.base.whole([" ".join(inner)])[0]
-            first = ids[split] if left > 1 or not joined else b""
-            last = part.ids[right - 1] if right > 1 or not joined else b""
-            whole_left, whole_right = left == len(words), right == len(part.words)
-            agrees = (whole_left or (left > 1 and fresh.startswith(first))) \
-                and (whole_right or (right > 1 and fresh.endswith(last)))
-            if agrees:
-                break
+            a, b = left[-reach:], right[:reach]
+            words = [w for w, _ in a] + [w for w, _ in b]
+            if joined:
+                words[len(a) - 1:len(a) + 1] = [words[len(a) - 1] + words[len(a)]]
+            fresh = self.base.whole([" ".join(words)])[0]
+            sure_left = len(a) > 1 or not joined  # the outermost word does not touch the cut
+            sure_right = len(b) > 1 or not joined
+            if (not sure_left or fresh.startswith(a[0][1])) and (not sure_right or fresh.endswith(b[-1][1])) \
+                    and (sure_left or len(left) == 1) and (sure_right or len(right) == 1):
+                ids = self.base.words(words)
+                if b"".join(ids) != fresh:  # ids that depend on more than a word stay in one piece
+                    ids = [fresh] + [b""] * (len(words) - 1)
+                return left[:-reach] + list(zip(words, ids)) + right[reach:]
+            if reach >= max(len(left), len(right)):
+                return None
             reach *= 2
-        per_word = self.base.words(inner)
-        if b"".join(per_word) != fresh:  # ids that depend on more than a word: keep them as one piece
-            per_word = [fresh] + [b""] * (len(inner) - 1)
-        words[split:] = inner + part.words[right:]
-        ids[split:] = per_word + part.ids[right:]
 
 
 @lru_cache(maxsize=2)
@@ -159,22 +179,24 @@ def encode(docs: DataFrame, tokenizer: str | None = None, key: str = "doc_id", t
     return rows.mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, ids binary")
 
 
-def digests(encoded: DataFrame, tokenizer: str | None = None, key: str = "doc_id") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256) of ``encode``'s rows, decoding each."""
+def round_trip(docs: DataFrame, tokenizer: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256): every whole text encoded and
+    decoded again, in one pass."""
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, decimal, _ = _strings(path)
+        encoder, (_, decimal, _) = chunk_encoder(path), _strings(path)
         for b in batches:
             n, by_ids, by_text = [], [], []
-            for raw in b.column("ids").to_pylist():
-                ids = np.frombuffer(raw, dtype="<u4").tolist()
+            for value in b.column(1):
+                ids = np.frombuffer(encoder.encode(value.as_py()), dtype="<u4").tolist()
                 n.append(len(ids))
                 by_ids.append(hashlib.sha256(" ".join([decimal[k] for k in ids]).encode()).hexdigest())
                 by_text.append(hashlib.sha256(decode(ids, path).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [b.column(key), pa.array(n, pa.int64()), pa.array(by_ids, pa.string()), pa.array(by_text, pa.string())],
+                [b.column(0), pa.array(n, pa.int64()), pa.array(by_ids, pa.string()), pa.array(by_text, pa.string())],
                 [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    kind = dict(encoded.dtypes)[key]
-    return encoded.mapInArrow(run, f"{key} {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    rows = docs.select(F.col(key), F.col(text).alias("_text"))
+    kind = dict(docs.dtypes)[key]
+    return rows.mapInArrow(run, f"{key} {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

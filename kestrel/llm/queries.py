@@ -87,7 +87,7 @@ def op5(spark, sf_dir):
 
 @register("op6_bpe_codec")
 def op6(spark, sf_dir):
-    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents")))
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
 @register("op7_simhash_dedup")

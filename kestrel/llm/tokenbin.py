@@ -175,17 +175,23 @@ def tokenised(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, pa
     return ordered.mapInArrow(run, f"part int, row bigint, doc_id {dict(docs.dtypes)['doc_id']}, ids binary")
 
 
+def _flat(column: pa.BinaryArray) -> np.ndarray:
+    """All ids of a batch, row after row."""
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(column.buffers()[1], dtype=kind)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], dtype="<u4", offset=int(ends[0]), count=int(ends[-1] - ends[0]) // 4)
+
+
 def id_counts(rows: DataFrame) -> np.ndarray:
     """Counts of every id over all rows; one entry per id up to the largest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, dtype=np.int64)
         for b in batches:
-            for raw in b.column("ids"):
-                part = np.bincount(np.frombuffer(raw.as_buffer(), dtype="<u4"))
-                if len(part) > len(total):
-                    total = np.concatenate([total, np.zeros(len(part) - len(total), dtype=np.int64)])
-                total[:len(part)] += part
+            part = np.bincount(_flat(b.column("ids")))
+            if len(part) > len(total):
+                total = np.concatenate([total, np.zeros(len(part) - len(total), dtype=np.int64)])
+            total[:len(part)] += part
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 

@@ -13,10 +13,14 @@ import sys
 from array import array
 from functools import lru_cache
 
+import numpy as np
 from tokenizers import Tokenizer
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-WORDS_KEPT = 600_000  # in each of two generations
+WORDS_KEPT = 300_000  # in each of two generations
+_STOPS = ".,!?;:"
+_LAST_PLAIN = "\u012f"  # up to here lower-casing is the same single-character map everywhere
+_SEPARATOR_WORDS = ("jekyll", "zebra", "the")  # any word that is one id serves
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
@@ -52,17 +56,72 @@ def _bytes(ids: list[int]) -> bytes:
 
 
 class WordIds:
-    """Ids of texts as little-endian unsigned 32-bit bytes, words encoded once."""
+    """Ids of texts as little-endian unsigned 32-bit bytes, words encoded once.
+
+    A new word of plain letters and a tail of stops is looked up as its lower-case
+    letters and its tail, if the tokenizer is found to fold case and to cut there;
+    what is left is encoded by the library, many words a call."""
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.by_words = drops_white_space(self.tokenizer)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        plain = "abcxyz \u00e0\u00e9\u00f1\u00fc\u00df\u0117 7"
+        ids = lambda x: self.whole([x])[0]
+        self.folds = self.by_words and all(
+            ids(w.upper() + "., !") == ids(w) + ids(".,") + ids("!") for w in plain.replace("\u00df", "").split()) \
+            and ids("x<|Y") == ids("x<|y")
+        one = [w for w in _SEPARATOR_WORDS if len(ids(w)) == 4]
+        self.separator = one[0] if one and self.by_words else None
+        self.separator_id = array("I", ids(self.separator))[0] if self.separator else -1
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """The library's ids of each word, by one call with a separator word."""
+        if self.separator is None or len(words) < 4:
+            return self.whole(words)
+        raw = self.whole([f" {self.separator} ".join(words)])[0]
+        ids = np.frombuffer(raw, dtype="<u4")
+        at = np.flatnonzero(ids == self.separator_id) * 4
+        if len(at) != len(words) - 1:  # a word that holds the separator
+            return self.whole(words)
+        cuts = at.tolist()
+        return [raw[a:b] for a, b in zip([0, *(x + 4 for x in cuts)], [*cuts, len(raw)])]
+
+    def _known(self, word: str) -> bytes | None:
+        found = self.known.get(word)
+        if found is None:
+            found = self.older.get(word)
+            if found is not None:
+                self.known[word] = found
+        return found
+
+    def _learn(self, words: list[str]) -> None:
+        new: dict[str, None] = {}
+        split: list[tuple[str, str, str]] = []
+        for word in words:
+            if self._known(word) is not None:
+                continue
+            if self.folds and max(word) <= _LAST_PLAIN and "<|" not in word:
+                low = word.lower()
+                base = low.rstrip(_STOPS)
+                if base and (base != word) and base[-1].isalnum():
+                    tail = low[len(base):]
+                    split.append((word, base, tail))
+                    if self._known(base) is None:
+                        new[base] = None
+                    if tail and self._known(tail) is None:
+                        new[tail] = None
+                    continue
+            new[word] = None
+        fresh = list(new)
+        self.known.update(zip(fresh, self._encoded(fresh)))
+        for word, base, tail in split:
+            self.known[word] = self.known[base] + self.known[tail] if tail else self.known[base]
+
     def words(self, words: list[str]) -> list[bytes]:
         """Ids of each word."""
         known = self.known
@@ -72,11 +131,7 @@ class WordIds:
             if len(known) > WORDS_KEPT:
                 self.older, self.known = known, {}
                 known = self.known
-            missing = [w for w in dict.fromkeys(words) if w not in known]
-            older = self.older
-            known.update((w, older[w]) for w in missing if w in older)
-            new = [w for w in missing if w not in known]
-            known.update(zip(new, self.whole(new)))
+            self._learn([w for w in dict.fromkeys(words) if w not in known])
             return [known[w] for w in words]
 
     def encode(self, text: str | None) -> bytes:
