@@ -1,14 +1,14 @@
 """Aggregate Column factories.
 
 User-defined aggregates are expressed as built-in aggregate expressions so
-Spark keeps partial (map-side) aggregation and codegen. A pandas grouped-agg
-UDF sends every row of a group to one task, so it is only offered as the
-SQL-name extension surface (:func:`register_average_udaf`) for bounded groups.
+Spark keeps partial (map-side) aggregation and codegen; a Python grouped
+aggregate would send every row of a group to one task.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +30,27 @@ def int_average(col: str | Column) -> Column:
     return F.when(n > 0, ((s - s % n) / n).cast("bigint"))
 
 
+def fold_by_key(df: DataFrame, keys: list[str], value: str, zero: str, seq: Callable[[Column, Column], Column],
+                comb: Callable[[Column, Column], Column], finish: Callable[[Column], Column] | None = None,
+                out: str = "result", piece_rows: int = 4096) -> DataFrame:
+    """Two-function aggregation per key: ``seq(acc, value)`` folds values from
+    ``zero`` (SQL text of the start value with its type) and ``comb(acc, acc)`` joins
+    partial results; neither may depend on order.
+
+    Rows are dealt by hash into pieces of about ``piece_rows``, folded, and the
+    partial results joined ``piece_rows`` at a time until one a key is left, so no
+    list in memory grows with the key's rows."""
+    start = F.expr(zero)
+    pieces = max(1, -(-df.count() // piece_rows))
+    acc = (df.groupBy(*keys, F.pmod(F.xxhash64(*df.columns, F.rand(1)), F.lit(pieces)).alias("_piece"))
+           .agg(F.aggregate(F.collect_list(value), start, seq).alias("_acc")))
+    while pieces > 1:
+        pieces = -(-pieces // piece_rows)
+        acc = (acc.groupBy(*keys, F.floor(F.col("_piece") / piece_rows).alias("_piece"))
+               .agg(F.aggregate(F.collect_list("_acc"), start, comb).alias("_acc")))
+    return acc.select(*keys, (finish(F.col("_acc")) if finish else F.col("_acc")).alias(out))
+
+
 def histogram(df: DataFrame, col: str, count_col: str = "n") -> DataFrame:
     """Value histogram as rows (value, n)."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(count_col))
@@ -43,12 +64,9 @@ def histogram_map(df: DataFrame, col: str) -> DataFrame:
 
 
 def register_average_udaf(spark: SparkSession, name: str = "average") -> None:
-    """Register ``name(x)`` as a SQL-callable average (pandas grouped-agg UDF).
-    Each group is evaluated in one task; prefer :func:`average` for large
-    groups."""
-    @F.pandas_udf("double")
-    def _avg(v: pd.Series) -> float:
-        v = v.dropna()
-        return float(v.sum()) / len(v) if len(v) else None
-
-    spark.udf.register(name, _avg)
+    """Register ``name(sum(x), count(x))`` as a temporary SQL function: the last
+    step of an average over a (sum, count) buffer. The buffer itself is kept by
+    the built-in aggregates, so it is merged partially in each task and no group is
+    gathered (a Python aggregate would send every group whole to one task)."""
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s DOUBLE, n BIGINT) RETURNS DOUBLE "
+              "RETURN CASE WHEN n > 0 THEN s / n END")

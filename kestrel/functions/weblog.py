@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 # --- fixed values: patterns that must equal the reference's meaning -------
 # IPv4 address anywhere in the line (group 0, first match).
-IP_PATTERN = (r"((?:(?:25[0-5]|2[0-4]\d|((1\d{2})|([1-9]?\d)))\.){3}"
-              r"(?:25[0-5]|2[0-4]\d|((1\d{2})|([1-9]?\d))))")
+IP_PATTERN = r"((?:(?:25[0-5]|2[0-4]\d|((1\d{2})|([1-9]?\d)))\.){3}(?:25[0-5]|2[0-4]\d|((1\d{2})|([1-9]?\d))))"
 # Video file name (group 0); the dot is escaped here (see README, D6).
 VIDEO_PATTERN = r"([0-9]+)\.mp4"
 # A line that requests a video file (full match).

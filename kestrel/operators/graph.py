@@ -17,9 +17,7 @@ from pyspark.sql import functions as F
 
 from kestrel.operators.materialize import materialize, release
 
-# Frontier/message tables up to this many rows are broadcast into the edge
-# join (their size is counted every round anyway).
-BROADCAST_FRONTIER_ROWS = 2_000_000
+SALTS = 16  # parts over which a receiver's attributes are spread when a message reads them
 
 
 @dataclass(frozen=True)
@@ -124,13 +122,33 @@ def in_neighbors(g: PropertyGraph) -> DataFrame:
     return ins.select("id", *nb.columns).unionByName(lonely.select("id", *empty))
 
 
+def _sent(g: PropertyGraph, sides: tuple[str, ...], to: str) -> DataFrame:
+    """Edges with the attributes of ``sides`` only, never partitioned on the
+    receiving endpoint: its attributes are joined over salts, so that a hub's
+    edges meet the partial aggregate from many tasks."""
+    t = g.edges
+    other = "src" if to == "dst" else "dst"
+    if to in sides:
+        spread = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        near = _prefixed(g.vertices, to).withColumn("_part", spread)
+        salt = F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")
+        t = (t.withColumn("_salt", salt)
+             .join(near, (F.col(to) == F.col(f"{to}_id")) & (F.col("_salt") == F.col("_part")), "left")
+             .drop(f"{to}_id", "_part", "_salt"))
+    if other in sides:
+        t = t.join(_prefixed(g.vertices, other), F.col(other) == F.col(f"{other}_id"), "left").drop(f"{other}_id")
+    return t
+
+
 def aggregate_messages(g: PropertyGraph, message: Callable[[DataFrame], Column],
                        aggs: dict[str, Callable[[Column], Column]],
-                       to: str = "dst") -> DataFrame:
-    """Send ``message(triplets)`` along every edge to its ``to`` endpoint and
-    merge per receiver with built-in aggregates (partial aggregation on the
-    map side). Only vertices that receive a message appear."""
-    t = triplets(g)
+                       to: str = "dst", sides: tuple[str, ...] = ("src", "dst")) -> DataFrame:
+    """Send ``message(edges with endpoint attributes)`` along every edge to its
+    ``to`` endpoint and merge per receiver with built-in aggregates (partial
+    aggregation on the map side). ``sides`` names the endpoints whose attributes
+    the message reads; the others are not joined. Only vertices that receive a
+    message appear."""
+    t = _sent(g, sides, to)
     msgs = t.select(F.col(to).alias("id"), message(t).alias("msg")).where(F.col("msg").isNotNull())
     return msgs.groupBy("id").agg(*[fn(F.col("msg")).alias(n) for n, fn in aggs.items()])
 
@@ -138,7 +156,7 @@ def aggregate_messages(g: PropertyGraph, message: Callable[[DataFrame], Column],
 def oldest_follower(g: PropertyGraph, name: str = "name", age: str = "age") -> DataFrame:
     """For every vertex: text naming its oldest in-neighbour (ties by lowest
     id), or saying it has none."""
-    t = triplets(g)
+    t = _sent(g, ("src",), "dst")
     best = (t.groupBy(F.col("dst").alias("id"))
             .agg(F.max_by(F.col(f"src_{name}"),
                           F.struct(F.col(f"src_{age}"), -F.col("src"))).alias("follower")))
@@ -149,114 +167,127 @@ def oldest_follower(g: PropertyGraph, name: str = "name", age: str = "age") -> D
     return j.select("id", txt.alias("text"))
 
 
+def balanced_vertices(g: PropertyGraph) -> DataFrame:
+    """Vertices with as many edges in as out."""
+    return degrees(g).where("in_degree = out_degree")
+
+
 # ----------------------------------------------------------------------------- iterative
 
+class NotConverged(RuntimeError):
+    """A loop ran out of rounds before its result was final."""
+
+
 def _checkpoint(df: DataFrame, metric: Column | None = None):
     """Materialise one round (see :func:`kestrel.operators.materialize.materialize`)."""
     return materialize(df, "round", metric)
 
 
-def _join_frontier(edges: DataFrame, frontier: DataFrame, n: int) -> DataFrame:
-    side = F.broadcast(frontier) if n <= BROADCAST_FRONTIER_ROWS else frontier
-    return edges.join(side, "src")
+def vertex_program(g: PropertyGraph, start: Column, send: Column, merge: Callable[[Column], Column],
+                   program: Callable[[Column, Column], Column], active: Column | None = None,
+                   max_rounds: int = 10_000) -> tuple[DataFrame, int]:
+    """General vertex program. Every vertex starts with state ``start`` (a Column
+    over the vertex attributes; NULL: no state yet). In each round the vertices
+    whose state changed send ``send`` (a Column over ``state``, ``src``, ``dst`` and
+    the edge attributes; NULL: no message) along their out-edges; messages to a
+    vertex are merged with the aggregate ``merge``, and ``program(state, message)``
+    gives its new state. ``active`` limits the first senders. Ends when no state
+    changes and returns (id, state) and the number of rounds; raises
+    :class:`NotConverged` when ``max_rounds`` leave a state changing.
+
+    A round is one join of the frontier with the edges (Catalyst broadcasts it
+    from its measured bytes, else both sides are shuffled and AQE splits a hot
+    sender) and one grouped aggregate that merges the messages, partially in
+    each task, with the old states. Rounds are written to the shared folder and
+    the changes counted during that write."""
+    edges = _checkpoint(g.edges)
+    changed = F.lit(True) if active is None else F.coalesce(active, F.lit(False))
+    states, n = _checkpoint(g.vertices.select("id", start.alias("state"), changed.alias("changed"))
+                            .where(F.col("id").isNotNull()), F.count(F.when(F.col("changed"), 1)))
+    kind = states.schema["state"].dataType
+    rounds = 0
+    while n:
+        if rounds == max_rounds:
+            raise NotConverged(f"{n} vertices still change after {rounds} rounds")
+        rounds += 1
+        frontier = states.where("changed").select(F.col("id").alias("src"), "state")
+        sent = (edges.join(frontier, "src")
+                .select(F.col("dst").alias("id"), F.lit(None).cast(kind).alias("state"), send.cast(kind).alias("message"))
+                .where(F.col("message").isNotNull()))
+        held = states.select("id", "state", F.lit(None).cast(kind).alias("message"), F.lit(True).alias("own"))
+        merged = (held.unionByName(sent.withColumn("own", F.lit(False))).groupBy("id")
+                  .agg(F.max("state").alias("state"), merge(F.col("message")).alias("message"), F.max("own").alias("own")))
+        new = F.when(F.col("message").isNull(), F.col("state")).otherwise(program(F.col("state"), F.col("message")))
+        step = (merged.where("own").select("id", new.alias("state"), (~new.eqNullSafe(F.col("state"))).alias("changed")))
+        previous = states
+        states, n = _checkpoint(step, F.count(F.when(F.col("changed"), 1)))
+        release(previous)  # superseded; the new round no longer reads it
+    release(edges)
+    return states.select("id", "state"), rounds
 
 
 def shortest_paths(g: PropertyGraph, source, weight: str = "weight",
                    max_rounds: int = 10_000) -> tuple[DataFrame, int]:
-    """Single-source shortest distances over non-negative weighted edges
-    (Bellman-Ford with an active frontier, the vertex program of the
-    reference's pregel run). Unreachable vertices get NULL. Returns the
-    distances and the number of rounds run.
-
-    Each round: frontier ⋈ edges on src -> candidates, unioned with the
-    reached set and reduced by one grouped ``min`` per vertex (a single
-    shuffle) -> vertices whose distance fell form the next frontier. Only reached vertices are carried between
-    rounds; the size of the frontier is observed while the round is written
-    (no extra job), and the frontier is broadcast when that size allows."""
-    edges = _checkpoint(g.edges.select("src", "dst", F.col(weight).cast("double").alias("w"))
-                        .where(F.col("w").isNotNull()))
-    spark = g.vertices.sparkSession
-    reached = (g.vertices.select("id").where(F.col("id") == F.lit(source))
-               .select("id", F.lit(0.0).alias("dist"), F.lit(True).alias("changed")))
-    reached, n = _checkpoint(reached, F.count(F.lit(1)))
-    rounds = 0
-    while n and rounds < max_rounds:
-        rounds += 1
-        frontier = reached.where("changed").select(F.col("id").alias("src"), F.col("dist").alias("sdist"))
-        msgs = (_join_frontier(edges, frontier, n)
-                .select(F.col("dst").alias("id"), F.lit(None).cast("double").alias("dist"),
-                        (F.col("sdist") + F.col("w")).alias("cand")))
-        prev = reached.select("id", "dist", F.lit(None).cast("double").alias("cand"))
-        # one grouped aggregation (partial per task, one shuffle) merges the
-        # reached set with the best candidate of every receiver
-        merged = (prev.unionByName(msgs).groupBy("id")
-                  .agg(F.min("dist").alias("dist"), F.min("cand").alias("cand")))
-        better = F.col("cand").isNotNull() & (F.col("dist").isNull() | (F.col("cand") < F.col("dist")))
-        nxt = merged.select("id", F.when(better, F.col("cand")).otherwise(F.col("dist")).alias("dist"),
-                            better.alias("changed"))
-        previous = reached
-        reached, n = _checkpoint(nxt, F.sum(F.col("changed").cast("long")))
-        release(previous)   # superseded round; the new one no longer reads it
-    del spark
-    dist = g.vertices.select("id").join(reached.select("id", "dist"), "id", "left")
-    return dist, rounds
-
-
-# Rank tables up to this many rows (one per vertex, counted once) are
-# broadcast into the edge scan, so the edge table is never shuffled.
-BROADCAST_RANK_ROWS = 5_000_000
+    """Single-source shortest distances over non-negative weighted edges: the
+    vertex program whose messages are distances through a neighbour, merged and
+    kept by minimum. Unreachable vertices get NULL. Returns the distances and the
+    number of rounds; raises on negative weights and when rounds run out."""
+    w = F.col(weight).cast("double")
+    lowest = g.edges.agg(F.min(w)).first()[0]
+    if lowest is not None and lowest < 0:
+        raise ValueError(f"negative weight {lowest}")
+    weighted = PropertyGraph(g.vertices, g.edges.select("src", "dst", w.alias("w")))
+    here = F.col("id") == F.lit(source)
+    out, rounds = vertex_program(weighted, F.when(here, F.lit(0.0)), F.col("state") + F.col("w"), F.min,
+                                 lambda state, message: F.least(state, message), active=here, max_rounds=max_rounds)
+    return out.withColumnRenamed("state", "dist"), rounds
+
+
+def connected_components(g: PropertyGraph, max_rounds: int = 10_000) -> tuple[DataFrame, int]:
+    """(id, component): the smallest id reachable over edges in either direction."""
+    both = g.edges.select("src", "dst").unionByName(g.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    out, rounds = vertex_program(PropertyGraph(g.vertices, both), F.col("id"), F.col("state"), F.min,
+                                 lambda state, message: F.least(state, message), max_rounds=max_rounds)
+    return out.withColumnRenamed("state", "component"), rounds
 
 
 def pagerank(g: PropertyGraph, max_iter: int = 20, tol: float | None = None,
-             reset_prob: float = 0.15, checkpoint_every: int = 5) -> tuple[DataFrame, int]:
+             reset_prob: float = 0.15) -> tuple[DataFrame, int]:
     """Unnormalised PageRank: rank = reset + (1 - reset) * Σ rank(src)/outdeg(src),
-    starting from 1.0 everywhere. Runs ``max_iter`` rounds, or stops earlier
-    once the largest change is below ``tol``. Returns (id, rank) and the
-    number of rounds run.
-
-    Out-degrees are attached to the edges once. Each round joins the edges
-    with the rank table on src: by broadcast when the vertex count (counted
-    once) proves the rank table small, so the edge table is never shuffled;
-    otherwise by a shuffled join whose hot keys AQE can split. The
-    contributions, unioned with one zero row per vertex, are reduced by one
-    grouped aggregation per vertex (partial per task, a single shuffle).
-
-    With ``tol`` the zero rows carry the previous rank, every round is
-    materialised and its largest change observed during that write. Without
-    it a round reads the previous ranks once, so the plan grows linearly and a
-    round is materialised every ``checkpoint_every`` rounds."""
-    outdeg = g.edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    edges = _checkpoint(g.edges.select("src", "dst").join(outdeg, "src"))
-    ids, n_vertices = _checkpoint(g.vertices.select("id").distinct(), F.count(F.lit(1)))
-    small = (n_vertices or 0) <= BROADCAST_RANK_ROWS
-    ranks = ids.select("id", F.lit(1.0).alias("rank"))
-    last = None   # newest materialised round; released when superseded
-    rounds = 0
-    for i in range(max_iter):
-        rounds += 1
-        src_ranks = ranks.select(F.col("id").alias("src"), F.col("rank").alias("src_rank"))
-        msgs = (edges.join(F.broadcast(src_ranks) if small else src_ranks, "src")
-                .select(F.col("dst").alias("id"), (F.col("src_rank") / F.col("deg")).alias("c"),
-                        F.lit(None).cast("double").alias("old")))
-        base = ranks if tol is not None else ids.select("id", F.lit(None).cast("double").alias("rank"))
-        prev = base.select("id", F.lit(0.0).alias("c"), F.col("rank").alias("old"))
-        agg = (prev.unionByName(msgs).groupBy("id")
-               .agg(F.sum("c").alias("s"), F.max("old").alias("old")))
-        rank = F.lit(reset_prob) + F.lit(1 - reset_prob) * F.col("s")
+    starting from 1.0 everywhere. Runs ``max_iter`` rounds, or with ``tol`` until
+    the largest change is below it, and raises :class:`NotConverged` when the
+    rounds run out first. Returns (id, rank) and the number of rounds run.
+
+    The division by the out-degree is on the vertex side: a round writes one row
+    per vertex with its rank and its share (rank / out-degree), and the next round
+    joins the raw edges with that table. Both sides of the join are plain scans,
+    so Catalyst broadcasts the shares when their bytes allow and AQE can split a
+    hot sender otherwise. The shares are merged by one grouped aggregate, partial
+    in each task, and the largest change is observed during the round's write."""
+    edges = _checkpoint(g.edges.select("src", "dst"))
+    degree = edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("deg"))
+    vertices = _checkpoint(g.vertices.select("id").distinct().join(degree, "id", "left"))
+    share = F.col("rank") / F.col("deg")
+    state = vertices.select("id", "deg", F.lit(1.0).alias("rank")).withColumn("share", share)
+    last = None
+    for done in range(1, max_iter + 1):
+        sent = (edges.join(state.where("share is not null").select(F.col("id").alias("src"), "share"), "src")
+                .select(F.col("dst").alias("id"), F.lit(None).cast("long").alias("deg"),
+                        F.lit(None).cast("double").alias("old"), F.col("share").alias("part"), F.lit(False).alias("own")))
+        held = state.select("id", "deg", F.col("rank").alias("old"), F.lit(0.0).alias("part"), F.lit(True).alias("own"))
+        merged = (held.unionByName(sent).groupBy("id")
+                  .agg(F.max("deg").alias("deg"), F.max("old").alias("old"), F.sum("part").alias("sum"), F.max("own").alias("own"))
+                  .where("own"))
+        rank = F.lit(reset_prob) + F.lit(1 - reset_prob) * F.col("sum")
+        step = merged.select("id", "deg", rank.alias("rank"), F.abs(rank - F.col("old")).alias("delta"))
+        state, delta = _checkpoint(step.withColumn("share", share), F.max("delta"))
+        release(last)
+        last = state
+        if tol is not None and (delta is None or delta < tol):
+            break
+    else:
+        done = max_iter
         if tol is not None:
-            step = agg.select("id", rank.alias("rank"), F.abs(rank - F.col("old")).alias("delta"))
-            new, delta = _checkpoint(step, F.max("delta"))
-            release(last)
-            last = new
-            ranks = new.select("id", "rank")
-            if delta is not None and delta < tol:
-                break
-        else:
-            new = agg.select("id", rank.alias("rank"))
-            if (i + 1) % checkpoint_every == 0:
-                ranks = _checkpoint(new)
-                release(last)
-                last = ranks
-            else:
-                ranks = new
-    return ranks, rounds
+            raise NotConverged(f"largest change {delta} after {done} rounds, not below {tol}")
+    release(vertices)
+    return state.select("id", "rank"), done

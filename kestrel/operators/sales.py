@@ -6,8 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.operators.joins import join_small
-
 
 def yearly_sales(stock: DataFrame, detail: DataFrame, dates: DataFrame) -> DataFrame:
     """``SELECT theyear, COUNT(DISTINCT ordernumber), SUM(amount) FROM stock
@@ -16,8 +14,8 @@ def yearly_sales(stock: DataFrame, detail: DataFrame, dates: DataFrame) -> DataF
 
     * details are summed per order *before* the join (partial aggregation), so
       the join sees one row per order instead of one per line;
-    * the date dimension is joined by broadcast only after its size is checked
-      (it holds one row per calendar day);
+    * the date dimension (one row per calendar day) is a plain join, which
+      Catalyst and AQE broadcast from its measured bytes;
     * the distinct count is a grouping on (theyear, ordernumber) that reuses
       the join's hash partitioning on ordernumber, so it adds no shuffle.
     """
@@ -25,7 +23,7 @@ def yearly_sales(stock: DataFrame, detail: DataFrame, dates: DataFrame) -> DataF
                  .agg(F.sum("amount").alias("amount")))
     orders = stock.select("ordernumber", "dateid")
     joined = orders.join(per_order, "ordernumber")
-    joined = join_small(joined, dates.select("dateid", "theyear"), "dateid")
+    joined = joined.join(dates.select("dateid", "theyear"), "dateid")
     per_year_order = (joined.groupBy("theyear", "ordernumber")
                       .agg(F.sum("amount").alias("amount")))
     return (per_year_order.groupBy("theyear")

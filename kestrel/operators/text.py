@@ -25,5 +25,16 @@ def document_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def word_count_lines_text(counts: DataFrame) -> DataFrame:
-    """``(word,n)`` text lines, the saved-text layout of a word count."""
-    return counts.select(F.format_string("(%s,%d)", "word", "n").alias("value"))
+    """``(word,n)`` text lines, the saved-text layout of a word count. Line feeds
+    and backslashes of a word are escaped, so a word never breaks its line."""
+    word = F.replace(F.replace("word", F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
+    return counts.select(F.format_string("(%s,%d)", word, "n").alias("value"))
+
+
+def parse_word_count_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """(word, n) back from :func:`word_count_lines_text` lines."""
+    m = r"(?s)^\((.*),([0-9]+)\)$"
+    # An escaped backslash is set aside while line feeds are restored.
+    word = F.replace(F.regexp_extract(col, m, 1), F.lit("\\\\"), F.lit("\x00"))
+    word = F.replace(F.replace(word, F.lit("\\n"), F.lit("\n")), F.lit("\x00"), F.lit("\\"))
+    return lines.select(word.alias("word"), F.regexp_extract(col, m, 2).cast("bigint").alias("n"))

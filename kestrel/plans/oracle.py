@@ -4,6 +4,8 @@ Derivations mirror :mod:`kestrel.sources.derived` exactly."""
 
 from __future__ import annotations
 
+from kestrel.functions.weblog import IP_PATTERN, SIZE_PATTERN, hour_pattern
+
 LOG_CTE = r"""log AS (
   SELECT '10.' || CAST((user_id >> 16) % 256 AS VARCHAR) || '.' || CAST((user_id >> 8) % 256 AS VARCHAR)
          || '.' || CAST(user_id % 256 AS VARCHAR)
@@ -18,9 +20,7 @@ LOG_CTE = r"""log AS (
          || ' "-" "Mozilla/5.0"' AS value
   FROM events)"""
 
-IP_RE = r"((?:(?:25[0-5]|2[0-4]\d|((1\d{2})|([1-9]?\d)))\.){3}(?:25[0-5]|2[0-4]\d|((1\d{2})|([1-9]?\d))))"
-SIZE_RE = r"^.*\s(200|206|304)\s([0-9]+)\s.*$"
-HOUR_RE = r"^.*(2017):([0-9]{2}):[0-9]{2}:[0-9]{2}.*$"
+IP_RE, SIZE_RE, HOUR_RE = IP_PATTERN, SIZE_PATTERN, hour_pattern()
 
 ORACLE: dict[str, str] = {}
 
@@ -179,18 +179,38 @@ FROM v LEFT JOIN best ON v.id = best.id
 """
 
 
-def _sssp_sql(source: int = 5, rounds: int = 40) -> str:
-    parts = [G_CTE, f"d0 AS MATERIALIZED (SELECT id, CASE WHEN id = {source} THEN 0.0 END::DOUBLE AS dist FROM v)"]
-    for i in range(1, rounds + 1):
-        parts.append(
-            f"d{i} AS MATERIALIZED (SELECT d.id, CASE WHEN c.cand IS NOT NULL AND (d.dist IS NULL OR c.cand < d.dist) "
-            f"THEN c.cand ELSE d.dist END AS dist FROM d{i-1} d LEFT JOIN "
-            f"(SELECT e.dst AS id, min(p.dist + e.weight) AS cand FROM e JOIN d{i-1} p ON e.src = p.id "
-            f"WHERE p.dist IS NOT NULL GROUP BY e.dst) c ON d.id = c.id)")
-    return "WITH " + ",\n".join(parts) + f"\nSELECT id, dist FROM d{rounds}"
+# Runs until no distance falls (a keyed recursion: one row per vertex).
+ORACLE["graph_sssp"] = f"""
+WITH RECURSIVE {G_CTE},
+d(id, dist) USING KEY (id) AS (
+  SELECT CAST(5 AS BIGINT), 0.0::DOUBLE FROM v WHERE id = 5
+  UNION
+  SELECT n.id, n.dist
+  FROM (SELECT e.dst AS id, min(p.dist + e.weight) AS dist FROM e JOIN d p ON e.src = p.id GROUP BY e.dst) n
+  LEFT JOIN recurring.d o ON o.id = n.id WHERE o.id IS NULL OR n.dist < o.dist
+)
+SELECT v.id, d.dist FROM v LEFT JOIN d ON v.id = d.id
+"""
 
+ORACLE["graph_balanced"] = f"""
+WITH {G_CTE},
+n AS (SELECT v.id, (SELECT count(*) FROM e WHERE e.dst = v.id) AS in_degree,
+             (SELECT count(*) FROM e WHERE e.src = v.id) AS out_degree FROM v)
+SELECT id, in_degree, out_degree FROM n WHERE in_degree = out_degree
+"""
 
-ORACLE["graph_sssp"] = _sssp_sql()
+ORACLE["graph_components"] = f"""
+WITH RECURSIVE {G_CTE},
+b AS MATERIALIZED (SELECT src, dst FROM e WHERE weight >= 50 UNION SELECT dst, src FROM e WHERE weight >= 50),
+c(id, component) USING KEY (id) AS (
+  SELECT id, id FROM v
+  UNION
+  SELECT n.id, n.component
+  FROM (SELECT b.dst AS id, min(p.component) AS component FROM b JOIN c p ON b.src = p.id GROUP BY b.dst) n
+  JOIN recurring.c o ON o.id = n.id WHERE n.component < o.component
+)
+SELECT id, component FROM c
+"""
 
 
 def _pagerank_sql(iters: int = 10) -> str:
@@ -209,6 +229,24 @@ def _pagerank_sql(iters: int = 10) -> str:
 
 ORACLE["graph_pagerank"] = _pagerank_sql()
 
+# Runs until the largest change of a round is below the tolerance.
+ORACLE["graph_pagerank_top"] = f"""
+WITH RECURSIVE {G_CTE},
+od AS MATERIALIZED (SELECT src, count(*) AS deg FROM e GROUP BY src),
+r(k, id, rank, delta) AS (
+  SELECT 0, id, 1.0::DOUBLE, CAST('infinity' AS DOUBLE) FROM v
+  UNION ALL
+  SELECT n.k + 1, n.id, n.rank, n.delta FROM (
+    SELECT v.k, v.id, 0.15 + 0.85 * coalesce(c.s, 0.0) AS rank,
+           abs(0.15 + 0.85 * coalesce(c.s, 0.0) - v.rank) AS delta, max(v.delta) OVER () AS worst
+    FROM r v LEFT JOIN (SELECT e.dst AS id, sum(p.rank / od.deg) AS s
+                        FROM e JOIN od ON e.src = od.src JOIN r p ON e.src = p.id GROUP BY e.dst) c ON v.id = c.id
+  ) n WHERE n.worst >= 0.001
+)
+SELECT r.id, v.name AS title, round(r.rank, 6) AS rank FROM r JOIN v USING (id)
+WHERE k = (SELECT max(k) FROM r) ORDER BY rank DESC, id LIMIT 10
+"""
+
 _FMT = "'%Y-%m-%d %H:%M:%S'"
 ORACLE["tumbling_counts"] = f"""
 WITH b AS (SELECT time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01') AS ws, event_type FROM events)
@@ -232,7 +270,7 @@ toks AS (SELECT unnest(CASE WHEN v = '' THEN ['']
 
 ORACLE["stream_word_count"] = f"""
 WITH {_CONV_WORDS}
-SELECT word, count(*) AS n, CAST(0 AS BIGINT) AS batch_id FROM toks GROUP BY word
+SELECT word, count(*) AS n FROM toks GROUP BY word
 """
 
 ORACLE["running_totals"] = f"WITH {_CONV_WORDS} SELECT word, count(*) AS n FROM toks GROUP BY word"
@@ -241,7 +279,7 @@ ORACLE["stream_relay"] = "SELECT 'relay:' || coalesce(text, 'null') AS value FRO
 
 ORACLE["offset_ledger"] = """
 SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
-       min(event_id) AS from_offset, max(event_id) + 1 AS until_offset, CAST(0 AS BIGINT) AS batch_id
+       min(event_id) AS from_offset, max(event_id) + 1 AS until_offset
 FROM events GROUP BY 1, 2
 """
 
@@ -271,20 +309,72 @@ ORACLE["table_round_trip"] = "SELECT * FROM nation"
 ORACLE["text_round_trip"] = ORACLE["word_count"]
 
 
-def _itemsets_sql(min_support: float = 0.01, max_size: int = 4) -> str:
-    b = "b AS MATERIALIZED (SELECT DISTINCT l_orderkey AS o, CAST(l_partkey % 20 AS VARCHAR) AS item FROM lineitem)"
-    need = f"(SELECT ceil({min_support} * count(DISTINCT o)) FROM b)"
-    selects = []
-    for k in range(1, max_size + 1):
-        al = [f"b{i}" for i in range(1, k + 1)]
-        frm = ", ".join(f"b b{i}" for i in range(1, k + 1))
-        conds = [f"b{i}.o = b1.o" for i in range(2, k + 1)] + [f"b{i-1}.item < b{i}.item" for i in range(2, k + 1)]
-        where = ("WHERE " + " AND ".join(conds)) if conds else ""
-        items = " || ' ' || ".join(f"{a}.item" for a in al)
-        group = ", ".join(f"{a}.item" for a in al)
-        selects.append(f"SELECT {items} AS items, count(*) AS freq FROM {frm} {where} GROUP BY {group} "
-                       f"HAVING count(*) >= {need}")
-    return f"WITH {b}\n" + "\nUNION ALL\n".join(selects)
+def _itemsets_sql(min_support: float) -> str:
+    """Grows itemsets by one item a round until none is frequent."""
+    return f"""
+WITH RECURSIVE b AS MATERIALIZED (SELECT DISTINCT l_orderkey AS o, CAST(l_partkey % 20 AS VARCHAR) AS item FROM lineitem),
+need AS MATERIALIZED (SELECT ceil({min_support} * count(DISTINCT o)) AS n FROM b),
+grown(o, items, last_item) AS (
+  SELECT o, item, item FROM (SELECT *, count(*) OVER (PARTITION BY item) AS f FROM b) WHERE f >= (SELECT n FROM need)
+  UNION ALL
+  SELECT o, items || ' ' || item, item
+  FROM (SELECT g.o, g.items, b.item, count(*) OVER (PARTITION BY g.items, b.item) AS f
+        FROM grown g JOIN b ON g.o = b.o AND b.item > g.last_item) WHERE f >= (SELECT n FROM need)
+)
+SELECT items, count(*) AS freq FROM grown GROUP BY items
+"""
+
+
+ORACLE["frequent_itemsets"] = _itemsets_sql(0.01)
+ORACLE["basket_file_itemsets"] = _itemsets_sql(0.05)
+
+# --- fits: what holds for every correct fit, whatever its random start ------------
+ORACLE["kmeans_assign"] = "SELECT vec_id, true AS nearest, true AS known_cluster FROM embeddings"
+ORACLE["kmeans_cost"] = "SELECT count(*) AS points, true AS is_least, true AS below_one_cluster FROM embeddings"
+ORACLE["model_round_trip"] = "SELECT count(*) AS vectors, CAST(0 AS BIGINT) AS mismatches FROM embeddings"
+ORACLE["tree_error"] = """
+WITH p AS (SELECT doc_id, l.quality FROM labels l JOIN documents d USING (doc_id)
+           WHERE CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 10 >= 7)
+SELECT count(*) AS rows, CAST(sum(quality) AS BIGINT) AS positives, true AS beats_majority FROM p
+"""
+ORACLE["als_fit_score"] = """
+SELECT count(*) AS rows, true AS below_spread
+FROM (SELECT DISTINCT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+"""
+ORACLE["linreg_sgd"] = """
+WITH RECURSIVE s AS (SELECT avg(l_quantity * l_quantity) AS g, avg(l_quantity * l_extendedprice) AS b FROM lineitem),
+w(t, v) AS (
+  SELECT 0, 0.0::DOUBLE
+  UNION ALL
+  SELECT t + 1, v - 1e-8 / sqrt(t + 1) * (s.g * v - s.b) FROM w, s WHERE t < 100
+)
+SELECT round(v, 9) AS coefficient FROM w WHERE t = 100
+"""
 
+# --- SQL-named and two-function averages, damaged lines ------------------------------
+ORACLE["sql_named_average"] = "SELECT c_nationkey, round(avg(c_acctbal), 6) AS average FROM customer GROUP BY c_nationkey"
+ORACLE["fold_average"] = ORACLE["int_average"]
+ORACLE["ad_line_check"] = """
+SELECT CASE WHEN event_type IN ('error', 'purchase') THEN 'bad' ELSE 'parsed' END AS kind, count(*) AS lines
+FROM events GROUP BY 1
+"""
 
-ORACLE["frequent_itemsets"] = _itemsets_sql()
+# --- file forms ------------------------------------------------------------------------
+ORACLE["json_file_filter"] = ORACLE["json_filter"]
+ORACLE["json_file_average"] = ORACLE["typed_average"]
+ORACLE["csv_file_sales"] = ORACLE["star_sales"]
+ORACLE["tab_file_graph"] = ORACLE["graph_messages"]
+ORACLE["vector_file_norm"] = """
+SELECT CAST(len(embedding) AS INTEGER) AS dims, count(*) AS vectors,
+       round(sum(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 4) AS sq_norm
+FROM embeddings GROUP BY 1
+"""
+ORACLE["rating_file_average"] = """
+SELECT user, count(*) AS items, round(sum(r), 4) AS total
+FROM (SELECT o_custkey AS user, l_partkey, sum(l_quantity) AS r
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2) GROUP BY user
+"""
+ORACLE["libsvm_file_labels"] = """
+SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label, count(*) AS rows, round(sum(l_quantity), 2) AS quantity
+FROM lineitem GROUP BY 1
+"""

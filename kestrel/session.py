@@ -39,16 +39,23 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint root.
-
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    folder when that setting is unset (local tests)."""
+    """The shared checkpoint root: the folder named in ``spark.checkpoint.dir``,
+    else the one given to ``setCheckpointDir``. Only a local master (one machine,
+    as in tests) gets a folder of its own when neither is set; a cluster without
+    one is an error, because a machine-local folder would lose data there."""
+    sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = os.path.join(tempfile.gettempdir(), "kestrel-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if root:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)
+        return root
+    root = sc.getCheckpointDir()
+    if root:
+        return root
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    root = os.path.join(tempfile.gettempdir(), "kestrel-checkpoints")
+    sc.setCheckpointDir(root)
     return root
 
 

@@ -76,6 +76,18 @@ def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad_click_lines(table(spark, sf_dir, "events"))
 
 
+def damaged_ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad-click lines of which those of error events have lost their last field
+    and those of purchases hold a word in a number's place."""
+    events = table(spark, sf_dir, "events")
+    whole = F.array(_s(F.unix_seconds(ntz_as_utc("ts"))), _s(F.col("user_id") % ADS_PROVINCES),
+                    _s(F.col("user_id") % ADS_CITIES), _s(F.col("user_id")), _s(F.col("event_id") % ADS_ADS))
+    text = (F.when(F.col("event_type") == "error", F.concat_ws(" ", F.slice(whole, 1, 4)))
+            .when(F.col("event_type") == "purchase", F.concat(F.concat_ws(" ", F.slice(whole, 1, 4)), F.lit(" none")))
+            .otherwise(F.concat_ws(" ", whole)))
+    return events.select(text.alias("value"))
+
+
 def part_graph_edges(lineitem: DataFrame) -> DataFrame:
     """Edges part -> next part of the same order (weight ``l_quantity``).
     The window is partitioned by order key; an order has a handful of lines,

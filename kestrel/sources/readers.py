@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
-    """One row per line, column ``value`` (S1)."""
-    return spark.read.text(path)
+    """One row per line, column ``value`` (S1). Lines end at line feeds alone, so
+    other line terminators stay part of their line."""
+    return spark.read.option("lineSep", "\n").text(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ EMPLOYEE = T.StructType([T.StructField("name", T.StringType()),
 AD_CLICK = T.StructType([T.StructField("timestamp", T.LongType()),
                          T.StructField("province", T.IntegerType()),
                          T.StructField("city", T.IntegerType()),
-                         T.StructField("uid", T.IntegerType()),
+                         T.StructField("uid", T.LongType()),
                          T.StructField("adid", T.IntegerType())])
 STOCK = T.StructType([T.StructField("ordernumber", T.StringType()),
                       T.StructField("locationid", T.StringType()),
@@ -26,7 +26,11 @@ STOCK_DETAIL = T.StructType([T.StructField("ordernumber", T.StringType()),
 DATE_DIM = T.StructType([T.StructField(n, T.StringType() if n == "dateid" else T.IntegerType())
                          for n in ("dateid", "years", "theyear", "month", "day", "weekday",
                                    "week", "quarter", "period", "halfmonth")])
-RATING = T.StructType([T.StructField("user", T.IntegerType()),
-                       T.StructField("item", T.IntegerType()),
+RATING = T.StructType([T.StructField("user", T.LongType()),
+                       T.StructField("item", T.LongType()),
                        T.StructField("rating", T.DoubleType())])
+EDGE = T.StructType([T.StructField("src", T.LongType()), T.StructField("dst", T.LongType()),
+                     T.StructField("weight", T.DoubleType())])
+VERTEX = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
+                       T.StructField("age", T.IntegerType())])
 # ---------------------------------------------------------------------------

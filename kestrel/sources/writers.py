@@ -4,24 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kestrel.session import scratch_path
+
 
 def write_text(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One line per row from a single string column (S18). Fails when the
     path exists unless another ``mode`` is given."""
-    df.write.mode(mode).text(path)
+    df.write.mode(mode).option("lineSep", "\n").text(path)
 
 
 def replace_table(spark: SparkSession, name: str, df: DataFrame,
                   path: str | None = None) -> DataFrame:
-    """Drop-and-recreate a catalog table from ``df`` (S17); returns the table.
-    With ``path`` the table data lives there (shared storage) instead of the
-    warehouse folder."""
+    """Replace a catalog table by ``df`` (S17); returns the table. The data is
+    written first, to ``path`` or a fresh folder of the shared root; only then is
+    the catalog entry dropped and created over it, so a failed write leaves the old
+    table, and ``df`` may read the table it replaces."""
+    path = path or scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    w = df.write.mode("overwrite")
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(name)
-    return spark.table(name)
+    return spark.catalog.createTable(name, path, "parquet")
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",

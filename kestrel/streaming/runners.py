@@ -25,10 +25,20 @@ def file_stream(spark: SparkSession, directory: str, file_glob: str, schema: T.S
             .option("pathGlobFilter", file_glob).load(directory))
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """A generated table replayed as a file stream."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
-    df = file_stream(spark, sf_dir, f"{name}.parquet", schema)
+def table_stream(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+                 batches: int = 4) -> DataFrame:
+    """A stored table replayed as a file stream in about ``batches`` micro-batches.
+    The part files of a folder are streamed as they are, in any order; a table
+    that is one file is first dealt into that many files of the shared root."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    stored = spark.read.parquet(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path").count()
+    if files <= 1:
+        part = stored.select(*columns) if columns else stored
+        path, files = scratch_path(spark, f"replay-{name}"), batches
+        part.repartition(batches).write.parquet(path)
+        stored = part
+    df = file_stream(spark, path, "*.parquet", stored.schema, max_files_per_trigger=max(1, -(-files // batches)))
     return df.select(*columns) if columns else df
 
 

@@ -29,7 +29,8 @@ def with_event_time(df: DataFrame, ts_col: str = "ts", out: str = "event_time",
                     delay: str | None = "1 hour") -> DataFrame:
     """Event-time column as a UTC instant (``timestamp_ntz`` is rejected by
     ``withWatermark``) plus a watermark of ``delay`` so window state can be
-    dropped once no more rows can arrive for it."""
+    dropped once no more rows can arrive for it. Rows later than that are dropped:
+    a replay of a stored table, whose files come in any order, passes None."""
     df = df.withColumn(out, ntz_as_utc(F.col(ts_col)))
     return df.withWatermark(out, delay) if delay else df
 

@@ -4,15 +4,28 @@ from kestrel.functions import aggregates as A
 from kestrel.operators import layout, ranking
 from kestrel.sources import readers, schemas
 
-EMPLOYEES = [("Michael", 3000), ("Andy", 4500), ("Justin", 3500), ("Berta", 4000)]
+WAGES = [("w%d" % k, 100 * k * k) for k in range(1, 7)]
 
 
-def test_average_column_and_sql_udaf(spark):
-    df = spark.createDataFrame(EMPLOYEES, schemas.EMPLOYEE)
-    assert df.agg(A.average("salary")).first()[0] == 3750.0
-    A.register_average_udaf(spark, "average")
-    df.createOrReplaceTempView("employees")
-    assert spark.sql("SELECT average(salary) AS a FROM employees").first()[0] == 3750.0
+def test_average_column_and_sql_name(spark):
+    df = spark.createDataFrame(WAGES, schemas.EMPLOYEE)
+    want = sum(w for _, w in WAGES) / len(WAGES)
+    assert abs(df.agg(A.average("salary")).first()[0] - want) < 1e-9
+    A.register_average_udaf(spark, "average_of")
+    got = spark.sql("SELECT average_of(sum(salary), count(salary)) AS a FROM {t}", t=df)
+    assert abs(got.first()[0] - want) < 1e-9
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fold_by_key_joins_partial_results(spark):
+    rows = [(k % 4, k) for k in range(200)]
+    df = spark.createDataFrame(rows, "k int, v bigint")
+    got = A.fold_by_key(df, ["k"], "v", "named_struct('low', 1000L, 'sum', 0L)",
+                        lambda acc, v: F.struct(F.least(acc["low"], v).alias("low"), (acc["sum"] + v).alias("sum")),
+                        lambda a, b: F.struct(F.least(a["low"], b["low"]).alias("low"), (a["sum"] + b["sum"]).alias("sum")),
+                        piece_rows=5)
+    assert {r["k"]: tuple(r["result"]) for r in got.collect()} == {
+        k: (k, sum(v for x, v in rows if x == k)) for k in range(4)}
 
 
 def test_average_empty_and_nulls(spark):
@@ -23,16 +36,17 @@ def test_average_empty_and_nulls(spark):
 
 
 def test_int_average_truncates(spark):
-    df = spark.createDataFrame([(1, 3), (1, 2), (1, 4), (2, 3), (3, 1), (3, 2)], "k int, v int")
+    rows = [(k % 3, 7 * k % 11) for k in range(20)]
+    df = spark.createDataFrame(rows, "k int, v int")
     got = {r[0]: r[1] for r in df.groupBy("k").agg(A.int_average("v")).collect()}
-    assert got == {1: 3, 2: 3, 3: 1}
+    assert got == {k: sum(v for x, v in rows if x == k) // sum(x == k for x, _ in rows) for k in range(3)}
     neg = spark.createDataFrame([(1, -3), (1, -4)], "k int, v int")
     assert neg.agg(A.int_average("v")).first()[0] == -3   # truncation toward zero, like div
 
 
 def test_histogram_map(spark):
-    df = spark.createDataFrame([(x,) for x in "abcdabc"], "v string")
-    assert A.histogram_map(df, "v").first()[0] == {"a": 2, "b": 2, "c": 2, "d": 1}
+    df = spark.createDataFrame([(x,) for x in "mississippi"], "v string")
+    assert A.histogram_map(df, "v").first()[0] == {"m": 1, "i": 4, "s": 4, "p": 2}
 
 
 def test_partition_by_key(spark):
@@ -52,6 +66,13 @@ def test_row_index_is_consecutive_in_order(spark):
     assert [k for _, k in got] == sorted(k for _, k in got)
 
 
+def test_row_index_with_other_columns_and_many_rows(spark):
+    df = spark.range(0, 20_000).select((F.col("id") * 7919 % 20_011).alias("k"), F.concat(F.lit("n"), "id").alias("name"),
+                                       (F.col("id") % 3).alias("z"))
+    got = layout.with_row_index(df, ["k"], num_partitions=5).collect()
+    assert [r["idx"] for r in sorted(got, key=lambda r: r["k"])] == list(range(20_000))
+
+
 AD_LINES = ["1 1 0 1 10", "2 1 0 1 10", "3 1 0 2 11", "4 1 0 2 11", "5 1 0 2 12",
             "6 1 0 3 13", "7 1 0 3 13", "8 1 0 4 14", "9 2 0 5 20", "garbage line", "1 x 0 1 1"]
 

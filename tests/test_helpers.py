@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from kestrel.operators import joins, layout, ml
+from kestrel.operators import layout, ml
 from kestrel.operators.materialize import materialize
 
 
@@ -8,23 +8,6 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_join_small_broadcasts_only_under_the_bound(spark):
-    big = spark.range(1000).withColumn("k", F.col("id") % 10)
-    small = spark.range(10).withColumnRenamed("id", "k")
-    j = joins.join_small(big, small, "k", max_rows=10)
-    assert j.count() == 1000
-    assert "BroadcastHashJoin" in _plan(j)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        j2 = joins.join_small(big, small, "k", max_rows=5)
-        assert j2.count() == 1000
-        assert "BroadcastHashJoin" not in _plan(j2)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-
-
 def test_materialize_observes_metric(spark):
     df = spark.range(100).select("id", (F.col("id") % 4 == 0).alias("flag"))
     out, n = materialize(df, "t", F.sum(F.col("flag").cast("long")))
@@ -91,3 +74,23 @@ def test_release_deletes_only_materialized_folder(spark):
     release(out)
     assert not os.path.exists(local)
     release(spark.range(3))   # not materialised: nothing happens
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    from kestrel.session import ensure_checkpoint_dir, scratch_path
+    root = ensure_checkpoint_dir(spark)
+    assert scratch_path(spark, "x").startswith(root.rstrip("/"))
+
+
+def test_cluster_without_checkpoint_folder_is_an_error():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from kestrel.session import ensure_checkpoint_dir
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=context, conf=conf))
+    given = SimpleNamespace(master="yarn", getCheckpointDir=lambda: "hdfs://given")
+    assert ensure_checkpoint_dir(SimpleNamespace(sparkContext=given, conf=conf)) == "hdfs://given"

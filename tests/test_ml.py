@@ -1,24 +1,26 @@
 import math
+from itertools import combinations
 
 from pyspark.sql import functions as F
 
 from kestrel.operators import ml
 from kestrel.sources import readers
 
-KMEANS = ["0.0 0.0 0.0", "0.1 0.5 0.1", "0.2 0.4 0.2", "9.0 9.0 9.0", "9.1 9.1 9.1", "9.2 9.2 9.2"]
-BASKETS = ["r z h k p", "z y x w v u t s", "s x o n r", "x z y m t s q e", "z", "x z y r q t p"]
+NEAR = [(x, x + 1.0, y) for x in (0.0, 0.5, 1.0) for y in (0.0, 0.25)]
+FAR = [(x + 40.0, 30.0 - x, y) for x in (0.0, 0.5, 1.0) for y in (0.0, 0.25)]
+BASKETS = ["oak elm ash", "oak elm", "oak ash fir", "elm fir", "oak elm ash fir", "yew"]
 
 
 def test_kmeans_fixture(spark):
-    pts = readers.parse_vector(spark.createDataFrame([(x,) for x in KMEANS], "value string"))
+    lines = [" ".join(map(str, p)) for p in NEAR + FAR]
+    pts = readers.parse_vector(spark.createDataFrame([(x,) for x in lines], "value string"))
     model = ml.kmeans_fit(pts, k=2, max_iter=20, seed=1)
-    centers = sorted(tuple(round(v, 9) for v in c) for c in model.clusterCenters())
-    assert centers == [(0.1, 0.3, 0.1), (9.1, 9.1, 9.1)]
-    assert abs(ml.kmeans_cost(model, pts).first()[0] - 0.24) < 1e-9
-    probe = readers.parse_vector(spark.createDataFrame([("8.9 7.2 9.0",)], "value string"))
-    far = model.transform(probe).first()["cluster"]
-    big = model.transform(pts.limit(6)).collect()[-1]["cluster"]
-    assert far == big
+    means = [tuple(sum(c) / len(g) for c in zip(*g)) for g in (NEAR, FAR)]
+    assert sorted(tuple(round(v, 9) for v in c) for c in model.clusterCenters()) == sorted(
+        tuple(round(v, 9) for v in m) for m in means)
+    cost = sum(sum((a - b) ** 2 for a, b in zip(p, m)) for g, m in zip((NEAR, FAR), means) for p in g)
+    assert abs(ml.kmeans_cost(model, pts).first()[0] - cost) < 1e-9
+    assert abs(ml.nearest_center(model, pts).agg(F.sum("least")).first()[0] - cost) < 1e-9
 
 
 def test_als_fixture(spark):
@@ -32,13 +34,28 @@ def test_als_fixture(spark):
 
 def test_fpgrowth_fixture(spark):
     b = readers.parse_basket(spark.createDataFrame([(x,) for x in BASKETS], "value string"))
-    fi = ml.frequent_itemsets(b, 0.4, num_partitions=2)
-    got = {"".join(sorted(r["items"])): r["freq"] for r in fi.collect()}
-    want = {"z": 5, "x": 4, "r": 3, "s": 3, "t": 3, "y": 3, "sx": 3, "tx": 3, "xy": 3, "xz": 3,
-            "ty": 3, "tz": 3, "yz": 3, "txy": 3, "txz": 3, "tyz": 3, "xyz": 3, "txyz": 3}
+    fi = ml.frequent_itemsets(b, 0.3, num_partitions=2)
+    got = {frozenset(r["items"]): r["freq"] for r in fi.collect()}
+    sets, names = [set(x.split()) for x in BASKETS], sorted({w for x in BASKETS for w in x.split()})
+    want = {frozenset(c): n for k in range(1, 5) for c in combinations(names, k)
+            if (n := sum(set(c) <= s for s in sets)) >= 2}
     assert got == want
 
 
+def test_gradient_descent_beyond_the_gram_limit(spark):
+    df = spark.createDataFrame([(float(x), float(x % 3), 2.0 * x - (x % 3)) for x in range(1, 21)], "a double, b double, y double")
+    by_gram = ml.linreg_gd(df, ["a", "b"], "y", iters=5, step=1e-3)
+    by_round = ml.linreg_gd(df, ["a", "b"], "y", iters=5, step=1e-3, gram_limit=1)
+    assert all(abs(p - q) < 1e-9 for p, q in zip(by_gram, by_round))
+
+
+def test_large_ids_get_int_indexes(spark):
+    rows = [(u * 10**12, i * 10**11, float(u + i)) for u in range(1, 5) for i in range(1, 4)]
+    got = ml.with_int_ids(spark.createDataFrame(rows, "user bigint, item bigint, rating double")).collect()
+    assert {(r["user"], r["user_id"]) for r in got} == {(u * 10**12, u - 1) for u in range(1, 5)}
+    assert {(r["item"], r["item_id"]) for r in got} == {(i * 10**11, i - 1) for i in range(1, 4)} and len(got) == 12
+
+
 def test_tree_and_error_rate(spark):
     rows = [(float(i % 2), float(i % 2) * 10 + (i % 7) * 0.1) for i in range(200)]
     df = spark.createDataFrame(rows, "label double, x double").withColumn(

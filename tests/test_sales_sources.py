@@ -87,3 +87,25 @@ def test_replace_table(spark, tmp_path):
     t = writers.replace_table(spark, "kestrel_t", df.union(df), path=str(tmp_path / "t2"))
     assert t.count() == 2
     assert json.loads(json.dumps(os.listdir(tmp_path)))
+
+
+def test_text_sink_keeps_words_with_line_terminators(spark, tmp_path):
+    words = ["a\rb", "x\u2028y", "p\u0085q", "back\\n slash\\", "c,1)", "", "line\nfeed", "\\\n"]
+    counts = spark.createDataFrame([(w, k + 1) for k, w in enumerate(words)], "word string, n bigint")
+    out = str(tmp_path / "odd")
+    writers.write_text(text.word_count_lines_text(counts), out)
+    back = text.parse_word_count_lines(readers.read_text(spark, out))
+    assert sorted(map(tuple, back.collect())) == sorted((w, k + 1) for k, w in enumerate(words))
+
+
+def test_large_user_ids_are_not_bad_lines(spark):
+    lines = spark.createDataFrame([("1 1 0 9000000000 10",), ("1 1 0 x 10",)], "value string")
+    good, bad = readers.parse_delimited(lines, schemas.AD_CLICK, " ")
+    assert [r["uid"] for r in good.collect()] == [9_000_000_000] and bad.count() == 1
+
+
+def test_replaced_table_may_read_itself(spark, tmp_path):
+    df = spark.createDataFrame([(1,), (2,)], "k int")
+    t = writers.replace_table(spark, "kestrel_self", df, path=str(tmp_path / "a"))
+    t = writers.replace_table(spark, "kestrel_self", t.where("k > 1"), path=str(tmp_path / "b"))
+    assert [r["k"] for r in t.collect()] == [2]
