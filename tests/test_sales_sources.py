@@ -23,11 +23,11 @@ def test_yearly_sales_fixture(spark):
 
 def test_json_sources(spark, tmp_path):
     p = tmp_path / "people.json"
-    p.write_text('{"name":"Michael"}\n{"name":"Andy", "age":30}\n{"name":"Justin", "age":19}\n')
+    p.write_text('{"name":"Ada"}\n{"name":"Ben", "age":44}\n{"name":"Cleo", "age":20}\n')
     people = readers.read_json(spark, str(p))
-    assert [r["name"] for r in people.where(F.col("age") > 21).collect()] == ["Andy"]
+    assert [r["name"] for r in people.where(F.col("age") > 21).collect()] == ["Ben"]
     people.createOrReplaceTempView("people")
-    assert [r[0] for r in spark.sql("SELECT name FROM people WHERE age > 21").collect()] == ["Andy"]
+    assert [r[0] for r in spark.sql("SELECT name FROM people WHERE age > 21").collect()] == ["Ben"]
     typed = readers.read_json(spark, str(p), schemas.PEOPLE)
     assert typed.schema == schemas.PEOPLE and typed.count() == 3
 
@@ -37,8 +37,8 @@ def test_delimited_vector_basket_libsvm(spark, tmp_path):
     e.write_text(" 1\t 2 \n2\t3\n")
     edges = readers.read_delimited(spark, str(e), _schema("src bigint, dst bigint"), sep="\t")
     assert [tuple(r) for r in edges.orderBy("src").collect()] == [(1, 2), (2, 3)]
-    pts = readers.parse_vector(spark.createDataFrame([("0.1 0.5 0.1",)], "value string"))
-    assert list(pts.first()[0]) == [0.1, 0.5, 0.1]
+    pts = readers.parse_vector(spark.createDataFrame([("0.25 0.5 1.5",)], "value string"))
+    assert list(pts.first()[0]) == [0.25, 0.5, 1.5]
     b = readers.parse_basket(spark.createDataFrame([("a b a",)], "value string"))
     assert sorted(b.first()[0]) == ["a", "b"]
     lib = tmp_path / "d.libsvm"
@@ -73,7 +73,7 @@ def test_jdbc_range_append_overwrite(spark):
     writers.write_jdbc(src, url, "PEOPLE", mode="overwrite", properties=props)
     got = readers.read_jdbc_range(spark, url, "PEOPLE", "id", 1, 10, 3, props)
     assert sorted(r["ID"] if "ID" in r else r["id"] for r in got.collect()) == list(range(1, 11))
-    more = spark.createDataFrame([(100, "hgg"), (101, "haa"), (102, "qqq")], "id int, name string")
+    more = spark.createDataFrame([(100, "x1"), (101, "x2"), (102, "x3")], "id int, name string")
     writers.write_jdbc(more, url, "PEOPLE", mode="append", properties=props)
     assert spark.read.jdbc(url, "PEOPLE", properties=props).count() == 23
     writers.write_jdbc(more, url, "PEOPLE", mode="overwrite", properties=props)
