@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.llm.common import materialize
+from kestrel.llm.common import materialize, smallest
 from kestrel.llm.textnum import SEGMENT, code_points, mix, span_hashes
 
 HASH_BITS = 20
@@ -147,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, label: str
     marked = (labels.select("doc_id", F.col(label).cast("double").alias("label"))
               .where(F.col("label").isin(0.0, 1.0) & F.col("doc_id").isNotNull())
               .groupBy("doc_id").agg(F.round(F.avg("label")).alias("label")))
-    chosen = marked.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(max_rows)
+    chosen = smallest(marked, F.xxhash64(F.lit(seed), "doc_id"), ["doc_id"], max_rows)
     chosen = materialize(chosen, "quality-rows")  # at most max_rows ids: a bounded broadcast
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 

@@ -1,8 +1,9 @@
 """Secret scans: candidates found by shape, false positives removed by a random
 forest that is trained from labelled findings.
 
-Candidates are runs of 16 or more key characters that hold a digit or mixed
-case, and values assigned to a credential word (``password=...``). Spans are
+Candidates are runs of 16 or more key characters that hold a digit, a capital
+after a small letter or 16 capitals, and values so made that are assigned to a
+credential word (``password=...``). Spans are
 code-point offsets into the whole text.
 
 The forest sees, for every candidate: its length, its character transitions
@@ -13,8 +14,8 @@ words. Path and neighbours enter as smoothed rates of true findings, learned on
 one half of the labelled findings; the forest is grown on the other half, so a
 rate never contains the label it helps to predict.
 
-The dictionary holds the ``DICTIONARY`` most frequent words, counted over all
-documents. Training takes at most ``max_findings`` labelled findings (those of
+The dictionary holds at most ``DICTIONARY`` words, the most frequent ones counted
+over all documents. Training takes at most ``max_findings`` labelled findings (those of
 smallest hash), so the rates and the forest have a fixed bound.
 
 Defined results: null and empty texts have no candidates; null ids and paths are
@@ -33,18 +34,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import materialize
+from kestrel.llm.common import materialize, release, smallest
 
 DICTIONARY = 20_000
 MASK = "[SECRET]"
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}={0,2}")
 _ASSIGNED = re.compile(r"(?i)(?:passw(?:or)?d|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)s?"
                        r"[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?([^\s\"',;:=&#*$%]{6,})")
-_DIGIT = re.compile("[0-9]")
-_MIXED = re.compile("[a-z][A-Z]")
+_DENSE = re.compile("[0-9]|[a-z][A-Z]|[A-Z]{16}")
 _WORD = re.compile(r"[^\W\d_]{3,16}")
 _NEAR = 64  # code points looked at on each side for the neighbouring words
 
@@ -55,10 +55,10 @@ FINDING = ("doc_id {id}, text_key bigint, path string, start bigint, end bigint,
 def spans(text: str) -> list[tuple[int, int, bool]]:
     """(start, end, assigned) of every candidate, without overlaps."""
     found = [(m.start(1), m.end(1), True) for m in _ASSIGNED.finditer(text)]
-    found = [(a, b, x) for a, b, x in found if _DIGIT.search(text, a, b) or _MIXED.search(text, a, b)]
+    found = [span for span in found if _DENSE.search(text, *span[:2])]
     for m in _RUN.finditer(text):
         a, b = m.span()
-        if _DIGIT.search(text, a, b) or _MIXED.search(text, a, b):
+        if _DENSE.search(text, a, b):
             found.append((a, b, False))
     out: list[tuple[int, int, bool]] = []
     for a, b, x in sorted(found, key=lambda s: (s[0], -s[1], not s[2])):
@@ -100,7 +100,8 @@ def candidates(docs: DataFrame, path: str | None = "source") -> DataFrame:
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY) -> list[tuple[str, int]]:
-    """The ``size`` most frequent words of all documents with their counts."""
+    """The most frequent words of all documents with their counts: those of the
+    largest counts, as long as all words of a count fit into ``size``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -118,8 +119,15 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY) -> list[tuple[str, int]]
         yield flush()
 
     words = docs.select("text").mapInArrow(count, "word string, n bigint")
-    top = words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return [tuple(r) for r in top.collect()]  # at most ``size`` short words
+    counted = materialize(words.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    levels = counted.groupBy("n").agg(F.count(F.lit(1)).alias("words"))  # few: most counts are shared by many words
+    ahead = Window.orderBy(F.desc("n"))
+    least = levels.withColumn("so_far", F.sum("words").over(ahead)).where(F.col("so_far") <= size).agg(F.min("n")).first()[0]
+    if least is None:
+        return []
+    out = sorted(tuple(r) for r in counted.where(F.col("n") >= least).collect())  # at most ``size`` short words
+    release(counted)
+    return out
 
 
 def _pairs(words: list[tuple[str, int]]) -> np.ndarray:
@@ -187,10 +195,9 @@ class Forest:
 
     def __init__(self, labelled: DataFrame, max_findings: int = 20_000, trees: int = 24, depth: int = 8, seed: int = 5):
         """``labelled``: findings with ``shape`` and ``label`` (0 or 1)."""
-        chosen = (labelled.where("label in (0, 1)")
-                  .withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "start", "candidate"))
-                  .orderBy("order", "doc_id", "start", "text_key").limit(max_findings))
-        chosen = materialize(chosen, "labelled-findings")
+        marked = (labelled.where("label in (0, 1)")
+                  .withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "start", "candidate")))
+        chosen = materialize(smallest(marked, F.col("order"), ["doc_id", "start", "text_key"], max_findings), "labelled-findings")
         total, true = chosen.agg(F.count(F.lit(1)), F.sum("label")).first()
         self.overall = float(true) / total if total else 0.5
         self.model, self.rates = None, {}
