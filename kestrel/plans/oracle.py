@@ -353,6 +353,11 @@ SELECT round(v, 9) AS coefficient FROM w WHERE t = 100
 
 # --- SQL-named and two-function averages, damaged lines ------------------------------
 ORACLE["sql_named_average"] = "SELECT c_nationkey, round(avg(c_acctbal), 6) AS average FROM customer GROUP BY c_nationkey"
+ORACLE["take_any"] = "SELECT least(10, count(*)) AS taken FROM orders"
+ORACLE["log_dropped_lines"] = """
+SELECT count(*) FILTER (event_type = 'signup') AS lines_without_ip,
+       count(*) FILTER (event_type = 'purchase') AS unparsed_lines FROM events
+"""
 ORACLE["fold_average"] = ORACLE["int_average"]
 ORACLE["ad_line_check"] = """
 SELECT CASE WHEN event_type IN ('error', 'purchase') THEN 'bad' ELSE 'parsed' END AS kind, count(*) AS lines

@@ -56,6 +56,13 @@ def q_hour_flow(spark, sf_dir):
     return weblog.hour_flow(derived.cdn_log(spark, sf_dir))
 
 
+@register("log_dropped_lines")
+def q_log_dropped_lines(spark, sf_dir):
+    """Lines the log queries leave out: without an address, without an hour."""
+    lines = derived.damaged_cdn_log(spark, sf_dir)
+    return weblog.unresolved_lines(lines).crossJoin(weblog.unparsed_flow_lines(lines))  # one row each
+
+
 # --- text (S1, P7, A1) ---------------------------------------------------------
 @register("word_count")
 def q_word_count(spark, sf_dir):
@@ -147,6 +154,13 @@ def q_int_average(spark, sf_dir):
             .groupBy("l_returnflag").agg(A.int_average("q").alias("avg_qty")))
 
 
+@register("take_any")
+def q_take_any(spark, sf_dir):
+    """Any ten orders, counted where they are found in the table again."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    return orders.limit(10).join(orders, "o_orderkey", "left_semi").agg(F.count(F.lit(1)).alias("taken"))
+
+
 @register("udaf_average")
 def q_udaf_average(spark, sf_dir):
     c = table(spark, sf_dir, "customer")

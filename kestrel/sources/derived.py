@@ -35,8 +35,8 @@ def log_ip(user_id: F.Column) -> F.Column:
                     _s(user_id % 256))
 
 
-def cdn_log_lines(events: DataFrame) -> DataFrame:
-    """One CDN access-log line per event (``value`` column, text-scan shape):
+def cdn_line() -> F.Column:
+    """The CDN access-log line of an event:
     ``ip HIT ms [dd/Mon/2017:HH:mm:ss +0800] "GET url HTTP/1.1" status bytes "-" "agent"``.
     Views and clicks request ``<event_id mod 40>.mp4``; other events a page."""
     et = F.col("event_type")
@@ -48,12 +48,25 @@ def cdn_log_lines(events: DataFrame) -> DataFrame:
               .when(et == "view", F.lit("206"))
               .otherwise(F.lit("200")))
     size = F.floor(F.col("value") * 1000).cast("bigint")
-    line = F.concat(
+    return F.concat(
         log_ip(F.col("user_id")), F.lit(" HIT "), _s(F.col("event_id") % 1000),
         F.lit(" ["), F.date_format("ts", f"dd/MMM/'{LOG_YEAR_TEXT}':HH:mm:ss"), F.lit(" +0800] \"GET "),
         url, F.lit(" HTTP/1.1\" "), status, F.lit(" "), _s(size),
         F.lit(" \"-\" \"Mozilla/5.0\""))
-    return events.select(line.alias("value"))
+
+
+def cdn_log_lines(events: DataFrame) -> DataFrame:
+    """One line per event (``value`` column, text-scan shape)."""
+    return events.select(cdn_line().alias("value"))
+
+
+def damaged_cdn_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines of which those of signups have lost their address and those of
+    purchases bear another year, so that their hour does not parse."""
+    kind, line = F.col("event_type"), cdn_line()
+    text = (F.when(kind == "signup", F.regexp_replace(line, "^[0-9.]+", "-"))
+            .when(kind == "purchase", F.replace(line, F.lit(f"/{LOG_YEAR_TEXT}:"), F.lit("/1999:"))).otherwise(line))
+    return table(spark, sf_dir, "events").select(text.alias("value"))
 
 
 def cdn_log(spark: SparkSession, sf_dir: str) -> DataFrame:
