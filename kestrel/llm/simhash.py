@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import materialize, release
+from kestrel.llm.common import materialize, pieces, release
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACES = bytes([9, 10, 11, 12, 13, 32])
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: s
     """(key, fp): one row per input row; fp is the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             fps = np.array([fingerprint(x, shingle) for x in b.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], [key, "fp"])
 
@@ -145,7 +145,6 @@ def links(tiled: DataFrame, radius: int = 3) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): nodes of each connected component of ``edges(a, b)`` share a
     root. Nodes without an edge are absent."""
-    spark = edges.sparkSession
     edges = materialize(edges.where("a != b").distinct(), "links")
     maps: list[DataFrame] = []
     level = 0
@@ -167,7 +166,7 @@ def components(edges: DataFrame) -> DataFrame:
         edges = fresh
         level += 1
     if not maps:
-        return spark.createDataFrame([], "node bigint, root bigint")
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     out = maps[-1].select("node", F.col("to").alias("root"))
     for lower in reversed(maps[:-1]):  # nodes of a lower level follow their target's root
         up = out.select(F.col("node").alias("to"), "root")
@@ -181,9 +180,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, key: str
     digits, ``component_id`` the smallest key reachable over links."""
     rows = materialize(fingerprints(docs, shingle, key, text), "fingerprints")
     distinct = materialize(rows.groupBy("fp").agg(F.min(key).alias("first")), "distinct-fingerprints")
-    grouped = components(links(materialize(tiles(distinct, tile), "tiles"), radius))
-    rooted = distinct.join(grouped.withColumnRenamed("node", "fp"), "fp", "left")
-    least = rooted.where("root is not null").groupBy("root").agg(F.min("first").alias("least"))
+    tiled = materialize(tiles(distinct, tile), "tiles")
+    grouped = components(links(tiled, radius))
+    release(tiled)
+    rooted = materialize(distinct.join(grouped.withColumnRenamed("node", "fp"), "fp", "left"), "rooted")
+    # Written, so that both sides of the next join are plain scans: a large component's fingerprints can be split.
+    least = materialize(rooted.where("root is not null").groupBy("root").agg(F.min("first").alias("least")), "least")
     named = rooted.join(least, "root", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
     named = materialize(named, "components")
     return (rows.join(named, "fp")

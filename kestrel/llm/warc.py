@@ -216,5 +216,5 @@ def archive(spark: SparkSession, pages: DataFrame, least: int = 100) -> DataFram
     write_monolithic(records(pages, least), folder)
     written = normalise(spark, folder, out)
     if written.isEmpty():
-        return read_records(spark.createDataFrame([], INDEX))
+        return read_records(written.select(F.lit(0).alias("offset"), F.lit(0).alias("length"), "archive"))
     return read_records(read_index(spark, out))
