@@ -11,7 +11,7 @@ from kestrel.operators.materialize import materialize, release
 from kestrel.session import scratch_path
 from kestrel.sources.tables import table
 
-__all__ = ["materialize", "release", "scratch_path", "table", "ranked", "smallest", "total_rows", "importable"]
+__all__ = ["materialize", "release", "scratch_path", "table", "ranked", "smallest", "total_rows", "importable", "pieces"]
 
 
 def importable(spark: SparkSession) -> None:
@@ -24,6 +24,14 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+def pieces(batches, rows: int = 256):
+    """Arrow batches (up to 64 MB each) in slices of a few rows, so that a task's
+    Python objects and output batches stay small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def total_rows(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1))).first()[0]
 

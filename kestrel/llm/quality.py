@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.llm.common import materialize, smallest
+from kestrel.llm.common import materialize, pieces, smallest
 from kestrel.llm.textnum import SEGMENT, code_points, mix, span_hashes
 
 HASH_BITS = 20
@@ -152,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, label: str
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             rows = [sparse(x) for x in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("label"),

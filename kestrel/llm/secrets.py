@@ -37,7 +37,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import materialize, release, smallest
+from kestrel.llm.common import materialize, pieces, release, smallest
 
 DICTIONARY = 20_000
 MASK = "[SECRET]"
@@ -76,7 +76,7 @@ def candidates(docs: DataFrame, path: str | None = "source") -> DataFrame:
     rows = docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_key"), where.alias("path"), F.col("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             ids, keys, paths = (b.column(k) for k in range(3))
             at, out = [], []
             for k, text in enumerate(b.column(3).to_pylist()):
@@ -111,7 +111,7 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY) -> list[tuple[str, int]]
             counts.clear()
             return pa.RecordBatch.from_arrays(list(words), ["word", "n"])
 
-        for b in batches:
+        for b in pieces(batches):
             for text in b.column(0).to_pylist():
                 counts.update(w for w in (text or "").lower().split() if 3 <= len(w) <= 16 and w.isalpha())
             if len(counts) > 200_000:  # memory only: partial counts are summed below

@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm.common import pieces
 from kestrel.llm.textnum import SEGMENT, code_points, window_hashes
 
 SCALES = ((40, 9, None), (12, 5, 256), (4, 2, 64))  # k, s, and the longest text that uses them
@@ -115,7 +116,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """(key, fingerprint) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             found = [to_string(fingerprint_of(code_points(x or ""))) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.string())], [key, "fingerprint"])
 
@@ -177,7 +178,7 @@ def edited_copies(docs: DataFrame, parts: int | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, out, size, last = None, [], 0, None
-        for b in batches:
+        for b in pieces(batches):
             columns = (b.column(k).to_pylist() for k in range(4))
             for part, guest, doc_id, text in zip(*columns):
                 if guest and last == (part, 1):

@@ -2,8 +2,8 @@
 counts, decoded by table in independent blocks with bit-offset checkpoints.
 
 Writing. Documents are range-partitioned by id and sorted, tokenised once, and
-kept as a table of ids. Ids are counted over the whole corpus (at most one count a
-vocabulary entry reaches the driver), the package-merge method gives optimal code
+kept as a table of ids. Ids are counted over the whole corpus while it is tokenised (at most one
+count a vocabulary entry reaches the driver), the package-merge method gives optimal code
 lengths of at most ``limit`` bits, and one canonical code serves all files. Each
 task then writes the runs of consecutive rows it holds, one file a run, in
 ascending id order.
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import materialize, scratch_path
+from kestrel.llm.common import materialize, pieces, release, scratch_path
 from kestrel.llm.files import reading, writing
 from kestrel.llm.tokens import default_tokenizer, word_ids
 
@@ -153,8 +153,10 @@ def unpack(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, decoder) ->
 
 # --- tables -------------------------------------------------------------------
 def tokenised(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, parts: int | None = None) -> DataFrame:
-    """(part, row, doc_id, ids): ids of each text and the end id, numbered in
-    ascending doc_id order within range partitions."""
+    """(part, row, doc_id, ids, counts): ids of each text and the end id, numbered
+    in ascending doc_id order within range partitions. A part ends with a row of
+    row -1 and no ids, whose ``counts`` (pairs of id and count) are the part's, so
+    that counting needs no further pass over the ids."""
     spark = docs.sparkSession
     path = tokenizer or default_tokenizer()
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -164,40 +166,41 @@ def tokenised(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, pa
                .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, row = word_ids(path), 0
-        for b in batches:
-            ids = [words.encode(x) + end for x in b.column("text").to_pylist()]
+        words, row, counts, part = word_ids(path), 0, np.zeros(1, dtype=np.int64), None
+        names = ["part", "row", "doc_id", "ids", "counts"]
+        for b in pieces(batches):
+            ids = [x + end for x in words.encode_many(b.column("text").to_pylist())]
+            seen = np.bincount(np.frombuffer(b"".join(ids), dtype="<u4"), minlength=len(counts))
+            seen[:len(counts)] += counts
+            counts, part = seen, b.column("part")[0].as_py()
             yield pa.RecordBatch.from_arrays(
-                [b.column("part"), pa.array(np.arange(row, row + len(ids))), b.column("doc_id"), pa.array(ids, pa.binary())],
-                ["part", "row", "doc_id", "ids"])
+                [b.column("part"), pa.array(np.arange(row, row + len(ids))), b.column("doc_id"), pa.array(ids, pa.binary()),
+                 pa.nulls(len(ids), pa.binary())], names)
             row += len(ids)
+        if part is not None:
+            used = np.flatnonzero(counts)
+            packed = np.stack([used, counts[used]], axis=1).astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([-1], pa.int64()),
+                                              pa.nulls(1, b.schema.field("doc_id").type), pa.nulls(1, pa.binary()),
+                                              pa.array([packed], pa.binary())], names)
+        words.rest()
 
-    return ordered.mapInArrow(run, f"part int, row bigint, doc_id {dict(docs.dtypes)['doc_id']}, ids binary")
-
-
-def _flat(column: pa.BinaryArray) -> np.ndarray:
-    """All ids of a batch, row after row."""
-    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
-    ends = np.frombuffer(column.buffers()[1], dtype=kind)[column.offset:column.offset + len(column) + 1]
-    return np.frombuffer(column.buffers()[2], dtype="<u4", offset=int(ends[0]), count=int(ends[-1] - ends[0]) // 4)
+    return ordered.mapInArrow(run, f"part int, row bigint, doc_id {dict(docs.dtypes)['doc_id']}, ids binary, counts binary")
 
 
 def id_counts(rows: DataFrame) -> np.ndarray:
     """Counts of every id over all rows; one entry per id up to the largest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, dtype=np.int64)
         for b in batches:
-            part = np.bincount(_flat(b.column("ids")))
-            if len(part) > len(total):
-                total = np.concatenate([total, np.zeros(len(part) - len(total), dtype=np.int64)])
-            total[:len(part)] += part
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
-
-    found = rows.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+            for raw in b.column("counts").to_pylist():
+                pairs = np.frombuffer(raw, dtype="<i8").reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["id", "n"])
+
+    packed = rows.select("counts").where("counts is not null")
+    found = packed.mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(max((r["id"] for r in found), default=-1) + 1, dtype=np.int64)
-    for r in found:
+    for r in found:  # one a vocabulary entry
         out[r["id"]] = r["n"]
     return out
 
@@ -214,14 +217,14 @@ def write_files(rows: DataFrame, folder: str, limit: int | None = None) -> DataF
             yield pa.RecordBatch.from_pydict({"path": [path], "part": pa.array([part], pa.int32()), "row": [row],
                                               "docs": [docs], "tokens": [tokens]})
 
-    files = rows.mapInArrow(run, "path string, part int, row bigint, docs bigint, tokens bigint")
+    files = rows.where("row >= 0").select("part", "row", "doc_id", "ids").mapInArrow(run, "path string, part int, row bigint, docs bigint, tokens bigint")
     return materialize(files, "token-files")
 
 
 def _write_runs(batches, folder: str, lengths: np.ndarray):
     """One file per run of consecutive rows of a part."""
-    rows = ((b.column("part")[k].as_py(), b.column("row")[k].as_py(), b.column("doc_id")[k].as_py(),
-             b.column("ids")[k].as_buffer()) for b in batches for k in range(b.num_rows))
+    rows = (row for b in batches for row in zip(b.column("part").to_numpy().tolist(), b.column("row").to_numpy().tolist(),
+                                                b.column("doc_id").to_pylist(), b.column("ids").to_numpy(zero_copy_only=False)))
     held = next(rows, None)
     while held is not None:
         part, first = held[:2]
@@ -234,7 +237,7 @@ def _write_runs(batches, folder: str, lengths: np.ndarray):
                 waiting.append(np.frombuffer(held[3], dtype="<u4"))
                 amount += sizes[-1]
                 held = next(rows, None)
-                if amount > 1 << 18:
+                if amount > 1 << 15:
                     out.write(packer.pack(np.concatenate(waiting)))
                     waiting, amount = [], 0
             if waiting:
@@ -321,4 +324,6 @@ def _rows(docs, first: int) -> pa.RecordBatch:
 def round_trip(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, end_id: int = 2) -> DataFrame:
     """Encode, write, and read back: (doc_id, start, ids)."""
     rows = materialize(tokenised(docs, tokenizer, end_id), "token-ids")
-    return read_files(write_files(rows, scratch_path(spark, "token-binary")))
+    files = write_files(rows, scratch_path(spark, "token-binary"))
+    release(rows)  # the files hold all of it
+    return read_files(files)
