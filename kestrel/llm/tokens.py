@@ -79,7 +79,7 @@ class WordIds:
         self.by_words = drops_white_space(self.tokenizer)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {"": b""}
+        self.tails: dict[str, bytes] = {}
         ids = lambda x: self.whole([x])[0]
         one = [w for w in _SEPARATOR_WORDS if len(ids(w)) == 4]
         self.separator = one[0] if one and self.by_words else None
@@ -130,49 +130,20 @@ class WordIds:
         return [raw[a:b] for a, b in zip([0, *(x + 4 for x in cuts)], [*cuts, len(raw)])]
 
     def learn(self, words: Iterable[str]) -> None:
-        """Have the ids of every word. The many short-lived token objects would set
-        off the cycle collector again and again, so it rests meanwhile."""
-        collecting = gc.isenabled()
-        gc.disable()
-        try:
-            self._learn(words)
-        finally:
-            if collecting:
-                gc.enable()
-
-    def _learn(self, words: Iterable[str]) -> None:
+        """Have the ids of every word at hand."""
         if len(self.known) > WORDS_KEPT:
             self.older, self.known = self.known, {}
-        known, older, tails, others = self.known, self.older, self.tails, []
+        known, older = self.known, self.older
+        new: dict[str, None] = {}
         for word in words:
-            if word in known:
-                continue
-            found = older.get(word)
-            if found is not None:
-                known[word] = found
-                continue
-            if self.letters and (word.isascii() or max(word) <= _LAST_PLAIN):
-                low = word.lower()
-                base = low if low.isalpha() else low.rstrip(_STOPS)
-                if base.isalpha():
-                    found = known.get(base)
-                    if found is None:
-                        found = older.get(base)
-                    if found is None:
-                        found = self._letters(base)
-                    known[base] = found
-                    tail = low[len(base):]
-                    if tail:
-                        if tail not in tails:
-                            if len(tails) > 10_000:
-                                tails.clear()
-                            tails[tail] = self.whole([tail])[0]
-                        found += tails[tail]
+            if word not in known:
+                found = older.get(word)
+                if found is None:
+                    new[word] = None
+                else:
                     known[word] = found
-                    continue
-            others.append(word)
-        others = list(dict.fromkeys(others))
-        known.update(zip(others, self._encoded(others)))
+        fresh = list(new)
+        known.update(zip(fresh, self._ids_of(fresh)))
 
     def words(self, words: list[str]) -> list[bytes]:
         """Ids of each word."""
@@ -219,7 +190,8 @@ class WordIds:
             yield from (out[p:q].tobytes() for p, q in pairwise(bounds))
 
     def _ids_of(self, words: list[str]) -> list[bytes]:
-        """Ids of new words, without keeping them."""
+        """Ids of new words, without keeping them. The many short-lived token objects
+        would set off the cycle collector again and again, so it rests meanwhile."""
         out, others, letters, tails = [], [], self._letters if self.letters else None, self.tails
         collecting = gc.isenabled()
         gc.disable()
@@ -233,7 +205,6 @@ class WordIds:
                         if tail not in tails:
                             if len(tails) > 10_000:
                                 tails.clear()
-                                tails[""] = b""
                             tails[tail] = self.whole([tail])[0]
                         out.append(letters(base) + tails[tail])
                         continue
