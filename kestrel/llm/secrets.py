@@ -9,8 +9,8 @@ code-point offsets into the whole text.
 The forest sees, for every candidate: its length, its character transitions
 (class changes, and the mean log probability of its character pairs under the
 corpus dictionary), dictionary coverage (the share of it that dictionary words
-cover), its character classes, the path it was found under, and its neighbouring
-words. Path and neighbours enter as smoothed rates of true findings, learned on
+cover), its character classes, whether it is assigned and whether to a credential
+word, the path it was found under, and its neighbouring words. Path and neighbours enter as smoothed rates of true findings, learned on
 one half of the labelled findings; the forest is grown on the other half, so a
 rate never contains the label it helps to predict.
 
@@ -46,10 +46,11 @@ _ASSIGNED = re.compile(r"(?i)(?:passw(?:or)?d|passphrase|pwd|secret|token|api[_-
                        r"[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?([^\s\"',;:=&#*$%]{6,})")
 _DENSE = re.compile("[0-9]|[a-z][A-Z]|[A-Z]{16}")
 _WORD = re.compile(r"[^\W\d_]{3,16}")
+COVERED = 3  # place of the dictionary coverage in ``shape``
 _NEAR = 64  # code points looked at on each side for the neighbouring words
 
 FINDING = ("doc_id {id}, text_key bigint, path string, start bigint, end bigint, candidate string, "
-           "word_before string, word_after string, assigned boolean")
+           "word_before string, word_after string, assigned boolean, named boolean")
 
 
 def spans(text: str) -> list[tuple[int, int, bool]]:
@@ -87,14 +88,14 @@ def candidates(docs: DataFrame, path: str | None = "source") -> DataFrame:
                     after_word = next((w.group().lower() for w in map(_WORD.search, after) if w), "")
                     at.append(k)
                     out.append((start, end, text[start:end], word, after_word,
-                                assigned or text[max(0, start - 2):start].rstrip("\"'")[-1:] in ("=", ":")))
+                                assigned or text[max(0, start - 2):start].rstrip("\"'")[-1:] in ("=", ":"), assigned))
             take = pa.array(at, pa.int64())
-            start, end, word, before, after, assigned = zip(*out) if out else ([],) * 6
+            start, end, word, before, after, assigned, named = zip(*out) if out else ([],) * 7
             yield pa.RecordBatch.from_arrays(
                 [ids.take(take), keys.take(take), paths.take(take), pa.array(start, pa.int64()), pa.array(end, pa.int64()),
                  pa.array(word, pa.string()), pa.array(before, pa.string()), pa.array(after, pa.string()),
-                 pa.array(assigned, pa.bool_())],
-                ["doc_id", "text_key", "path", "start", "end", "candidate", "word_before", "word_after", "assigned"])
+                 pa.array(assigned, pa.bool_()), pa.array(named, pa.bool_())],
+                ["doc_id", "text_key", "path", "start", "end", "candidate", "word_before", "word_after", "assigned", "named"])
 
     return rows.mapInArrow(run, FINDING.format(id=dict(docs.dtypes)["doc_id"]))
 
@@ -153,7 +154,7 @@ def _coverage(text: str, words: frozenset) -> float:
     return covered / max(len(low), 1)
 
 
-def shape_features(text: str, assigned: bool, words: frozenset, pairs: np.ndarray) -> list[float]:
+def shape_features(text: str, assigned: bool, named: bool, words: frozenset, pairs: np.ndarray) -> list[float]:
     n = len(text)
     kinds = [0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3 for c in text]
     changes = sum(a != b for a, b in zip(kinds, kinds[1:]))
@@ -163,23 +164,25 @@ def shape_features(text: str, assigned: bool, words: frozenset, pairs: np.ndarra
     entropy = -sum(c / n * math.log2(c / n) for c in counts.values()) if n else 0.0
     hexlike = sum(c in "0123456789abcdefABCDEF" for c in text) / max(n, 1)
     return [float(n), changes / max(n - 1, 1), chance, _coverage(text, words), entropy, hexlike,
-            *(kinds.count(k) / max(n, 1) for k in range(4)), float(assigned)]
+            *(kinds.count(k) / max(n, 1) for k in range(4)), float(assigned), float(named)]
 
 
 def with_shape(findings: DataFrame, words: list[tuple[str, int]]) -> DataFrame:
-    """Adds ``shape`` (array of doubles): all that depends on the candidate alone."""
+    """Adds ``shape`` (array of doubles): all that depends on the candidate alone,
+    and ``common``: whether it is a word of the dictionary."""
     shared = findings.sparkSession.sparkContext.broadcast((frozenset(w for w, _ in words), _pairs(words)))
     schema = findings.schema.simpleString()[7:-1].replace(":", " ")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, pairs = shared.value
         for b in batches:
-            rows = [shape_features(t, a, known, pairs) for t, a in
-                    zip(b.column("candidate").to_pylist(), b.column("assigned").to_pylist())]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, pa.list_(pa.float64()))],
-                                             [*b.schema.names, "shape"])
+            found = [b.column(c).to_pylist() for c in ("candidate", "assigned", "named")]
+            rows = [shape_features(t, a, n, known, pairs) for t, a, n in zip(*found)]
+            common = [t.lower() in known for t in found[0]]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, pa.list_(pa.float64())), pa.array(common, pa.bool_())],
+                                             [*b.schema.names, "shape", "common"])
 
-    return findings.mapInArrow(run, f"{schema}, shape array<double>")
+    return findings.mapInArrow(run, f"{schema}, shape array<double>, common boolean")
 
 
 def _rate(rows: DataFrame, column: str, overall: float, weight: float = 4.0) -> DataFrame:
@@ -232,13 +235,26 @@ def materialize_vectors(df: DataFrame) -> DataFrame:
     return materialize(df.select("features", F.col("label").cast("double").alias("label")), "forest-rows")
 
 
+#: Tokens whose issuers publish a prefix: cloud, code hosting, chat, payment, mail and package services, web tokens.
+_ISSUED = ("^(?:A(?:KIA|SIA|GPA|IDA|ROA|NPA)[A-Z2-7]{16}|gh[pousr]_[A-Za-z0-9]{20,}|github_pat_[A-Za-z0-9_]{20,}"
+           "|glpat-[A-Za-z0-9_-]{16,}|xox[abeoprs]-[A-Za-z0-9-]{10,}|[prs]k_(?:live|test)_[A-Za-z0-9]{10,}"
+           "|AIza[A-Za-z0-9_-]{30,}|npm_[A-Za-z0-9]{30,}|hf_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9_-]{20,}|eyJ[A-Za-z0-9_-]{13,})")
+_MIXED = "^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_-]{20,}={0,2}$"
+_UUID = "(?i)^[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+
+
 def known_format() -> Column:
-    """Label of a finding by the issuers' published formats: an access key id, or
-    an assigned password or token of hex digits. All else is a false positive."""
-    word, before = F.col("candidate"), F.col("word_before")
-    access_key = word.rlike("^AKIA[A-Z2-7]{16}$")
-    assigned = F.col("assigned") & word.rlike("^[0-9a-f]{18,}$") & before.isin("token", "password", "secret", "key")
-    return (access_key | assigned).cast("int")
+    """Label of a finding. True by the issuers' formats as a family: a published
+    prefix, hex (of any case) or mixed base64 assigned to a credential word, or a
+    base64 line after the head of a key block. False by evidence only: digit runs,
+    parts of URLs and ids that no credential word names, dictionary words. The
+    rest is null: not labelled, left to the forest."""
+    word, before, named = F.col("candidate"), F.col("word_before"), F.col("named")
+    assigned = named & (word.rlike(r"(?i)^[0-9a-f]{18,}\W*$") & word.rlike("[0-9]") & word.rlike("[A-Fa-f]") | word.rlike(_MIXED))
+    block = ~F.col("assigned") & (before == "key") & word.rlike("^[A-Za-z0-9+/]{40,}={0,2}$")
+    other = ~named & (word.rlike("^[0-9+/_=-]+$") | before.isin("http", "https", "www") | word.rlike(_UUID)
+                      | (F.get("shape", F.lit(COVERED)) >= 0.8))
+    return F.when(word.rlike(_ISSUED) | assigned | block, 1).when(other | F.col("common"), 0)
 
 
 def scan(docs: DataFrame, path: str | None = "source", label: Column | None = None, threshold: float = 0.5,
