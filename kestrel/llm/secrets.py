@@ -1,10 +1,13 @@
 """Secret scans: candidates found by shape, false positives removed by a random
 forest that is trained from labelled findings.
 
-Candidates are runs of 16 or more key characters that hold a digit, a capital
-after a small letter or 16 capitals, and values so made that are assigned to a
-credential word (``password=...``). Spans are
-code-point offsets into the whole text.
+Candidates are values of 6 or more characters assigned to a credential word
+(``password=...``), whatever they are made of, and runs of 16 or more key characters
+that hold a digit, a capital after a small letter or 16 capitals. An assigned value
+is taken whole: to its closing quote on the line (a backslash keeps the next
+character), else to white space without trailing punctuation (``.,;:)]}>`` and
+quotes). Not seen: shorter values and runs, and unassigned runs of small letters
+alone. Spans are code-point offsets into the whole text.
 
 The forest sees, for every candidate: its length, its character transitions
 (class changes, and the mean log probability of its character pairs under the
@@ -43,7 +46,9 @@ DICTIONARY = 20_000
 MASK = "[SECRET]"
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}={0,2}")
 _ASSIGNED = re.compile(r"(?i)(?:passw(?:or)?d|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)s?"
-                       r"[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?([^\s\"',;:=&#*$%]{6,})")
+                       r"[\"']?[ \t]{0,3}[:=][ \t]{0,3}"
+                       r"(?:\"((?:[^\"\\\r\n]|\\.){6,4096}+)\"|'((?:[^'\\\r\n]|\\.){6,4096}+)'|[\"']?+(\S{6,}))")
+_TRAILING = ".,;:)]}>\"'"
 _DENSE = re.compile("[0-9]|[a-z][A-Z]|[A-Z]{16}")
 _WORD = re.compile(r"[^\W\d_]{3,16}")
 COVERED = 3  # place of the dictionary coverage in ``shape``
@@ -55,8 +60,13 @@ FINDING = ("doc_id {id}, text_key bigint, path string, start bigint, end bigint,
 
 def spans(text: str) -> list[tuple[int, int, bool]]:
     """(start, end, assigned) of every candidate, without overlaps."""
-    found = [(m.start(1), m.end(1), True) for m in _ASSIGNED.finditer(text)]
-    found = [span for span in found if _DENSE.search(text, *span[:2])]
+    found = []
+    for m in _ASSIGNED.finditer(text):
+        a, b = m.span(m.lastindex)
+        if m.lastindex == 3:
+            b = a + len(m.group(3).rstrip(_TRAILING))
+        if b - a >= 6:
+            found.append((a, b, True))
     for m in _RUN.finditer(text):
         a, b = m.span()
         if _DENSE.search(text, a, b):

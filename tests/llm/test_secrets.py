@@ -129,3 +129,13 @@ def test_labels_are_false_by_evidence_only(docs):
     found = secrets.with_shape(secrets.candidates(docs([(k, t, "s") for k, t in enumerate(texts)])), [("stone", 3)])
     got = {r["doc_id"]: r["label"] for r in found.withColumn("label", secrets.known_format()).collect()}
     assert got == {0: 1, 1: 1, 2: 1, 3: 1, 4: None, 5: 0, 6: 0}
+
+
+@pytest.mark.parametrize("text,value", [
+    ("password=p@$$w0rd!23 end", "p@$$w0rd!23"), ("password=Tr0ub4dor&3xyz, end", "Tr0ub4dor&3xyz"),
+    ("password=correcthorsebattery.", "correcthorsebattery"), ('"secret": "two words; a=b"}', "two words; a=b"),
+    ("token='a:b#c*d%e' x", "a:b#c*d%e"), ('pwd="never closed', "never"), ("auth=(abcdef12)", "(abcdef12"),
+    ('token="a\\"bc; def" x', 'a\\"bc; def')])
+def test_assigned_values_are_taken_whole(text, value):
+    got = [text[a:b] for a, b, _ in secrets.spans(text)]
+    assert got == ([value] if len(value) >= 6 else [])
