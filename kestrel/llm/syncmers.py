@@ -3,15 +3,20 @@ hash among its inner s-mers stands at its first or last place. The choice depend
 on the k-mer alone, so equal passages give equal anchors whatever surrounds them,
 and anchors of two documents can be matched by position.
 
-A fingerprint is the whole sequence of anchors, ten hex digits each: eight of the
-k-mer's hash and two of the distance to the anchor before (255: that far or
-farther). Short texts also get the anchors of finer scales (``SCALES``), as few
-long k-mers fit into them. A text without any anchor gets one of its whole text,
-an empty text the empty fingerprint. Equal texts have equal fingerprints.
-
-Likeness of two fingerprints is the size of the multiset of shared anchors over
-the size of their union; two empty fingerprints have likeness 1.
-:func:`matches` gives the shared anchors with their positions.
+A fingerprint is the whole sequence of anchors of every scale (``SCALES``), ten hex
+digits each: eight of the k-mer's hash, whose two lowest bits are replaced by the
+scale's number, and two of the distance to the anchor before (255: that far or
+farther). Every text has all scales, whatever its length: short texts and passages
+have few long k-mers, and are found by the fine ones. A text without any anchor gets
+one of its whole text, an empty text the empty fingerprint. Equal texts have equal
+fingerprints.
+
+Likeness of two fingerprints is the weight of the multiset of shared anchors over
+the weight of their union, over the scales that both have; an anchor weighs the
+square of its k, so that short k-mers, which strangers share, decide only where
+there are few others. Without a common scale it is 0; two empty fingerprints have
+likeness 1. :func:`matches` gives the shared anchors of the coarsest scale that has
+any, with their positions.
 
 :func:`edited_copies` fingerprints every document, a copy of it whose second half
 is replaced by the start of the next document (descending id), and compares. Rows
@@ -37,7 +42,9 @@ from pyspark.sql import functions as F
 from kestrel.llm.common import pieces
 from kestrel.llm.textnum import SEGMENT, code_points, window_hashes
 
-SCALES = ((40, 9, None), (12, 5, 256), (4, 2, 64))  # k, s, and the longest text that uses them
+SCALES = ((40, 9), (12, 5), (4, 2))  # k, s
+WEIGHTS = (*(k * k for k, _ in SCALES), 1)  # of an anchor; the last: of a whole text
+_SCALE = np.uint32(3)  # bits of a hash that hold the scale
 RECORD = np.dtype([("hash", ">u4"), ("gap", "u1")])
 
 
@@ -65,14 +72,14 @@ def anchors(cp: np.ndarray, k: int = SCALES[0][0], s: int = SCALES[0][1]) -> tup
 
 def fingerprint_of(cp: np.ndarray) -> np.ndarray:
     """Anchor records of a text's code points."""
-    found = [anchors(cp, k, s) for k, s, longest in SCALES if longest is None or len(cp) <= longest]
-    at, hashes = (np.concatenate(x) for x in zip(*found))
-    if len(found) > 1:
-        order = np.argsort(at, kind="stable")
-        at, hashes = at[order], hashes[order]
+    found = [anchors(cp, k, s) for k, s in SCALES]
+    at = np.concatenate([x for x, _ in found])
+    hashes = np.concatenate([h & ~_SCALE | np.uint32(n) for n, (_, h) in enumerate(found)])
+    order = np.argsort(at, kind="stable")
+    at, hashes = at[order], hashes[order]
     if not len(at) and len(cp):
         digest = hashlib.blake2b(cp.tobytes(), digest_size=4).digest()
-        at, hashes = np.zeros(1, np.int64), np.frombuffer(digest, dtype="<u4")
+        at, hashes = np.zeros(1, np.int64), np.frombuffer(digest, dtype="<u4") | _SCALE
     out = np.empty(len(at), dtype=RECORD)
     out["hash"] = hashes
     out["gap"] = np.minimum(np.diff(at, prepend=0), 255)
@@ -92,24 +99,35 @@ def _multiset(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Shared anchors over all anchors of two multisets (values, counts)."""
-    total = int(a[1].sum() + b[1].sum())
-    if not total:
+    """Weight of the shared anchors over that of all anchors of two multisets
+    (values, counts), over the scales both have."""
+    if not len(a[0]) and not len(b[0]):
         return 1.0
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    shared = int(np.minimum(a[1][i], b[1][j]).sum())
-    return shared / (total - shared)
+    both = np.minimum(a[1][i], b[1][j])
+    by_scale = lambda values, counts: np.bincount(values & _SCALE, counts, len(WEIGHTS))
+    x, y, shared = by_scale(*a), by_scale(*b), by_scale(a[0][i], both)
+    weight = np.where((x > 0) & (y > 0), WEIGHTS, 0)
+    union = float((weight * (x + y - shared)).sum())
+    return float((weight * shared).sum()) / union if union else 0.0
 
 
 def matches(a: str, b: str) -> list[tuple[int, int]]:
-    """Positions (in a, in b) of equal anchors, each anchor of ``a`` with the
-    nearest unused occurrence order of ``b``; exact while gaps stay under 255."""
+    """Positions (in a, in b) of equal anchors of the coarsest scale that has any,
+    each anchor of ``a`` with the nearest unused occurrence order of ``b``; exact
+    while gaps stay under 255."""
     x, y = from_string(a), from_string(b)
     at_x, at_y = np.cumsum(x["gap"].astype(np.int64)), np.cumsum(y["gap"].astype(np.int64))
-    where: dict[int, list[int]] = {}
-    for h, p in zip(y["hash"].tolist()[::-1], at_y.tolist()[::-1]):
-        where.setdefault(h, []).append(p)
-    return [(p, where[h].pop()) for h, p in zip(x["hash"].tolist(), at_x.tolist()) if where.get(h)]
+    hash_x, hash_y = x["hash"].astype(np.uint32), y["hash"].astype(np.uint32)
+    for scale in range(len(WEIGHTS)):
+        mine, other = (hash_x & _SCALE) == scale, (hash_y & _SCALE) == scale
+        where: dict[int, list[int]] = {}
+        for h, p in zip(hash_y[other].tolist()[::-1], at_y[other].tolist()[::-1]):
+            where.setdefault(h, []).append(p)
+        found = [(p, where[h].pop()) for h, p in zip(hash_x[mine].tolist(), at_x[mine].tolist()) if where.get(h)]
+        if found:
+            return found
+    return []
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -102,3 +102,26 @@ def test_likeness_of_copies_and_strangers():
     assert syncmers.likeness(make(a), make(a)) == 1.0
     assert syncmers.likeness(make(a), make(near)) > 0.8 > 0.1 > syncmers.likeness(make(a), make(other))
     assert syncmers.likeness(make(""), make("")) == 1.0 and syncmers.likeness(make(""), make(a)) == 0.0
+
+
+@pytest.mark.parametrize("n", [12, 40, 64, 256, 300])
+def test_one_character_more_changes_little_at_any_length(n):
+    rng = random.Random(n)
+    make = lambda t: syncmers._multiset(syncmers.fingerprint_of(code_points(t)))
+    near = []
+    for _ in range(200):
+        t = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n + 1))
+        near.append(syncmers.likeness(make(t[:n]), make(t)))
+    assert sum(near) / len(near) > 0.85
+
+
+@pytest.mark.parametrize("n", [9, 30, 60, 200])
+def test_short_passages_are_found_in_longer_documents(n):
+    rng = random.Random(n)
+    draw = lambda k: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(k))
+    passage = draw(n)
+    text = draw(400) + passage + draw(400)
+    own, whole = (syncmers.fingerprint_of(code_points(x)) for x in (passage, text))
+    assert set(own["hash"].tolist()) <= set(whole["hash"].tolist())
+    pairs = syncmers.matches(syncmers.to_string(own), syncmers.to_string(whole))
+    assert pairs and sum(q - p == 400 for p, q in pairs) >= 0.9 * len(pairs)
