@@ -8,8 +8,10 @@ is above (the water level at which the shares meet the budget).
 Blocks. A source's documents are dealt by a seeded hash into blocks of about
 ``block_words`` words. Every pass over a source (at most ``epochs``) permutes its
 blocks by a seeded hash. A source takes its passes in order up to its target: whole
-blocks first, whole documents of the block that the target falls in, and of the
-last document only its first words, so the words taken are the rounded target.
+blocks first, then whole documents of the block that the target falls in. With
+``whole`` the document in which the target falls is taken or left whole, whichever
+total is nearer the target (a tie takes it); without, only its first words are taken,
+so the words taken are the rounded target.
 
 Splitting tree. The blocks taken give each source an exact quota. The quotas are
 split recursively between the halves of the output shards: a node's slots are
@@ -89,10 +91,11 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int = 9) -> DataFrame:
 
 def draw(docs: DataFrame, weights: tuple = (3, 1, 2), budget: float = 1.5, epochs: int = 2, shards: int = 8,
          block_words: int = 20_000, seed: int = 9, text: str = "text", key: str = "doc_id",
-         source: str = "source") -> DataFrame:
+         source: str = "source", whole: bool = False) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken, text_key and
     ``parts``: an array of (pass, shard, words) for every pass that takes some of
-    it. ``words`` is the document's size unless the target falls inside it."""
+    it. ``words`` is the document's size, unless the target falls inside it and
+    ``whole`` is off."""
     sized = materialize(docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"),
                                     word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("text_key")), "sizes")
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -141,9 +144,13 @@ def draw(docs: DataFrame, weights: tuple = (3, 1, 2), budget: float = 1.5, epoch
                                                         "text_key", "size")
     ran = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = rows.withColumn("ran", ran).join(plan, ["sid", "block"], "left")
+
+    def words(draw: Column) -> Column:
+        inside = F.greatest(F.lit(0), F.least(F.col("size"), draw["words_taken"] - F.col("ran")))
+        return F.when(2 * inside >= F.col("size"), F.col("size")).otherwise(F.lit(0)) if whole else inside
+
     parts = F.filter(F.transform("draws", lambda d: F.struct(
-        d["pass"].alias("pass"), d["shard"].alias("shard"),
-        F.greatest(F.lit(0), F.least(F.col("size"), d["words_taken"] - F.col("ran"))).alias("words"))),
+        d["pass"].alias("pass"), d["shard"].alias("shard"), words(d).alias("words"))),
         lambda p: p["words"] > 0)
     parts = F.coalesce(parts, F.array().cast("array<struct<pass:int,shard:int,words:bigint>>"))
     placed = placed.select("doc_id", "text_key", "source", "size", "source_size", "target", parts.alias("parts"))
@@ -154,7 +161,7 @@ def draw(docs: DataFrame, weights: tuple = (3, 1, 2), budget: float = 1.5, epoch
 def mix(docs: DataFrame, seed: int = 9, text: str = "text", key: str = "doc_id", source: str = "source",
         **options) -> DataFrame:
     """The mixed rows: every column of ``docs``, a row for each pass that takes the
-    document (its text cut to the words taken), with ``shard`` and the seeded
+    document (its text cut to the words taken, never with ``whole``), with ``shard`` and the seeded
     ``order`` of the row in its shard."""
     docs = docs.drop("shard", "order")
     plan = (draw(docs, seed=seed, text=text, key=key, source=source, **options).where("taken > 0")

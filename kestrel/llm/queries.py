@@ -74,7 +74,7 @@ FROM p LEFT JOIN f ON p.digest = f.digest AND p.bytes >= 100
 
 @register("op4_source_mixing")
 def op4(spark, sf_dir):
-    plan = mixing.draw(table(spark, sf_dir, "documents"), weights=(3, 1, 2), budget=1.5, epochs=2, shards=8)
+    plan = mixing.draw(table(spark, sf_dir, "documents"), weights=(3, 1, 2), budget=1.5, epochs=2, shards=8, whole=True)
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -96,3 +96,18 @@ def test_odd_rows(odd):
 def test_empty(docs):
     assert mixing.draw(docs([])).count() == 0 and mixing.mix(docs([])).count() == 0
     assert mixing.draw(docs([(1, None, "a"), (2, "", None)])).agg(F.sum("taken")).first()[0] == 0
+
+
+def test_whole_documents_are_taken_or_left(docs):
+    rows = corpus(4) + [(900, "é\tü  " * 700, "long"), (901, "a\n b " * 900, "long")]
+    exact = {r["doc_id"]: r for r in plan(docs, rows, block_words=100)}
+    got = {r["doc_id"]: r for r in plan(docs, rows, block_words=100, whole=True)}
+    assert set(got) == set(exact)
+    assert all(p["words"] == r["size"] for r in got.values() for p in r["parts"])
+    cut = {i: r for i, r in exact.items() if r["taken"] % max(r["size"], 1)}
+    assert cut and {i for i in got if got[i]["taken"] != exact[i]["taken"]} == set(cut)
+    for i, r in cut.items():  # nearer of the two totals
+        part = r["taken"] % r["size"]
+        assert got[i]["taken"] == r["taken"] - part + (r["size"] if 2 * part >= r["size"] else 0)
+    texts = {i: t for i, t, _ in rows}
+    assert all(r["text"] == texts[r["doc_id"]] for r in mixing.mix(docs(rows), block_words=100, whole=True).collect())
