@@ -212,6 +212,19 @@ c(id, component) USING KEY (id) AS (
 SELECT id, component FROM c
 """
 
+ORACLE["graph_components_all"] = f"""
+WITH RECURSIVE {G_CTE},
+b AS MATERIALIZED (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
+c(id, component) USING KEY (id) AS (
+  SELECT id, id FROM v
+  UNION
+  SELECT n.id, n.component
+  FROM (SELECT b.dst AS id, min(p.component) AS component FROM b JOIN c p ON b.src = p.id GROUP BY b.dst) n
+  JOIN recurring.c o ON o.id = n.id WHERE n.component < o.component
+)
+SELECT id, component FROM c
+"""
+
 
 def _pagerank_sql(iters: int = 10) -> str:
     parts = [G_CTE,

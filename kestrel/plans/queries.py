@@ -265,9 +265,16 @@ def q_graph_balanced(spark, sf_dir):
     return G.balanced_vertices(_g(spark, sf_dir)).select("id", "in_degree", "out_degree")
 
 
+@register("graph_components_all")
+def q_graph_components_all(spark, sf_dir):
+    """Components over all edges of the graph."""
+    return G.connected_components(_g(spark, sf_dir))[0]
+
+
 @register("graph_components")
 def q_graph_components(spark, sf_dir):
-    """Components over the heaviest edges (weight of 50 or more)."""
+    """Components of the subgraph of the heaviest edges (weight of 50 or more); over
+    all edges: ``graph_components_all``."""
     g = _g(spark, sf_dir)
     heavy = G.PropertyGraph(g.vertices, g.edges.where("weight >= 50").select("src", "dst"))
     return G.connected_components(heavy)[0]
