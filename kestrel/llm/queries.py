@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, mixing, quality, secrets, sharding, simhash, syncmers, tokenbin, topk, warc
+from kestrel.llm import bpe, linerules, mixing, quality, secrets, sharding, simhash, syncmers, tokenbin, topk, warc
 from kestrel.llm.common import importable, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,51 @@ def op10(spark, sf_dir):
     return written.select("doc_id", sharding.size_of(F.col("text")).alias("size"),
                           F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
                           "law", "shard", "slot", "grown_shard")
+
+
+@register("op13_line_rules")
+def op13(spark, sf_dir):
+    cleaned = linerules.clean(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", *linerules.MEASURES, "base_failed", "kept", "lost_chars")
+
+
+def _line_rules_sql() -> str:
+    text = lambda s: "'" + s.replace("'", "''") + "'"
+    word, count = text(linerules.WORD), lambda x, p: f"len(regexp_extract_all({x}, {p}))"
+    notice = " OR ".join(f"contains(lower(line), {text(p)})" for p in linerules.BOILERPLATE)
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), {word}) AS words FROM documents
+), measured AS (
+  SELECT r, doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols FROM d
+), lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d
+), counted AS (SELECT r, line, {count('line', word)} AS n FROM lines
+), judged AS (
+  SELECT r, line, n, CASE WHEN {count('line', text(linerules.SEPARATORS))} * 5 > n
+      OR regexp_matches(line, {text(linerules.MENU)}) OR {notice}
+      OR {count('line', text(linerules.MARK_RUNS))} * 5 > n
+      OR (NOT regexp_matches(line, {text(linerules.SENTENCE_END)})
+          AND {count('line', text(linerules.SENTENCE_MARK))} * {linerules.PROSE} < n)
+    THEN length(regexp_replace(line, {text(linerules.SPACE)}, '', 'g')) ELSE 0 END AS lost
+  FROM counted WHERE n > 0
+), by_line AS (
+  SELECT r, (count(*) - count(DISTINCT line))::BIGINT AS n_dup_lines, sum(lost)::BIGINT AS lost_chars FROM judged GROUP BY r
+), placed AS (
+  SELECT r, unnest(range(len(words) - 2)) AS place, words FROM d WHERE len(words) > 2
+), windows AS (
+  SELECT r, place, count(*) OVER (PARTITION BY r, words[place + 1], words[place + 2], words[place + 3]) AS n FROM placed
+), covered AS (
+  SELECT r, count(DISTINCT place + k)::BIGINT AS n_repeat_words FROM windows, (SELECT unnest(range(3)) AS k) WHERE n > 1 GROUP BY r
+), joined AS (
+  SELECT m.*, coalesce(l.n_dup_lines, 0) AS n_dup_lines, coalesce(l.lost_chars, 0) AS lost_chars,
+         coalesce(c.n_repeat_words, 0) AS n_repeat_words
+  FROM measured m LEFT JOIN by_line l USING (r) LEFT JOIN covered c USING (r)
+), based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM joined)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * lost_chars <= 40 * word_chars AS kept, lost_chars FROM based
+"""
+
+
+ORACLE["op13_line_rules"] = _line_rules_sql()
