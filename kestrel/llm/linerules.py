@@ -47,6 +47,7 @@ BOILERPLATE = ("all rights reserved", "cookie policy", "uses cookies", "accept c
 PROSE = 60  # words to a sentence mark, at most, in a line without a mark at its end
 RULES = ("navigation", "boilerplate", "punctuation")
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+_ADDED = [*MEASURES, "_lines", "_rules", "_words", "_hashes", "_text"]
 
 
 def bound(value: Column, use) -> Column:
@@ -100,7 +101,7 @@ def _repeat_words(words: Column, hashes: Column, window: int) -> Column:
 def measured(docs: DataFrame, text: str = "text", window: int = 3) -> DataFrame:
     """``docs`` with the base measures (``MEASURES``), ``_lines`` (of the text) and
     ``_rules``: the rule that each line fails, 0 for none."""
-    docs = docs.drop(*[c for c in [*MEASURES, "_lines", "_rules", "_words", "_hashes", "_text"] if c != text])
+    docs = docs.drop(*[c for c in _ADDED if c != text])
     whole = F.coalesce(F.col(text), F.lit(""))
     split = docs.withColumns({"_words": words_of(whole), "_lines": F.split(whole, "\n"), "_text": whole})
     last = F.size("_words") - window
@@ -123,7 +124,7 @@ def clean(docs: DataFrame, text: str = "text", least_words: int = 50, max_repeat
     """``docs`` with the base measures, ``base_failed``, ``kept``, ``failed_lines`` (lines
     removed by each of ``RULES``), ``lost_chars`` (word characters in them) and
     ``clean_text``: the text without them (``max_*`` in per cent)."""
-    added = [*MEASURES, "base_failed", "kept", "failed_lines", "lost_chars", "clean_text"]
+    added = [*_ADDED, "base_failed", "kept", "failed_lines", "lost_chars", "clean_text"]
     docs = docs.drop(*[c for c in added if c != text])
     rows = measured(docs, text)
     pairs = F.arrays_zip("_lines", "_rules")
