@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, linerules, mixing, quality, secrets, sharding, simhash, syncmers, tokenbin, topk, warc
+from kestrel.llm import bpe, linerules, mixing, quality, secrets, sharding, simhash, syncmers, tokenbin, topk, vafile, warc
 from kestrel.llm.common import importable, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,42 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 ORACLE["op13_line_rules"] = _line_rules_sql()
+
+
+@register("op11_va_clusters")
+def op11(spark, sf_dir):
+    return vafile.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, scale=256.0, dims=64, salt="2:")
+
+
+def _va_clusters_sql(k: int = 40, rounds: int = 5) -> str:
+    bound = vafile.LIMIT
+    parts = [f"""v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: floor(greatest(-{bound}.0, least({bound}.0, 256.0 * x::DOUBLE)))) AS w
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR) NULLS LAST, w) - 1 AS c, w AS m FROM v
+  QUALIFY row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR) NULLS LAST, w) <= {k}
+)"""]
+    for t in range(rounds + 1):
+        parts.append(f"""p{t} AS (
+  SELECT v.r, c, list_dot_product(w, w) - 2 * list_dot_product(w, m) + list_dot_product(m, m) AS d FROM v CROSS JOIN c{t}
+), a{t} AS (
+  SELECT r, c, d FROM p{t} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1
+)""")
+        if t < rounds:
+            parts.append(f"""e{t} AS (
+  SELECT c, i, floor(sum(v.w[i]) / count(*)) AS x FROM a{t} JOIN v USING (r), (SELECT unnest(range(1, 65)) AS i) GROUP BY c, i
+), c{t + 1} AS (
+  SELECT c{t}.c, coalesce(n.m, c{t}.m) AS m FROM c{t} LEFT JOIN (SELECT c, list(x ORDER BY i) AS m FROM e{t} GROUP BY c) n USING (c)
+)""")
+    t = rounds
+    return f"""WITH {', '.join(parts)}, s AS (SELECT c, sum(d)::BIGINT AS total FROM a{t} GROUP BY c)
+SELECT v.vec_id, a.c::INTEGER AS cluster, a.d::BIGINT AS distance, s.total AS cluster_inertia,
+       (SELECT sum(total)::BIGINT FROM s) AS inertia,
+       sha256(array_to_string(list_transform(m.m, lambda x: x::BIGINT::VARCHAR), ',')) AS centroid_sha256
+FROM a{t} a JOIN v USING (r) JOIN s USING (c) JOIN c{t} m USING (c)"""
+
+
+ORACLE["op11_va_clusters"] = _va_clusters_sql()
