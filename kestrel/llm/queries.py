@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, linerules, mixing, quality, secrets, sharding, simhash, syncmers, tokenbin, topk, vafile, warc
+from kestrel.llm import bpe, convtrie, linerules, mixing, quality, secrets, sharding, simhash, syncmers, tokenbin, topk, vafile, warc
 from kestrel.llm.common import importable, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,3 +201,43 @@ FROM a{t} a JOIN v USING (r) JOIN s USING (c) JOIN c{t} m USING (c)"""
 
 
 ORACLE["op11_va_clusters"] = _va_clusters_sql()
+
+
+@register("op12_conversation_trie")
+def op12(spark, sf_dir):
+    return convtrie.prefix_trie(table(spark, sf_dir, "conversations"), family=100, heads=6).select(*convtrie.COLUMNS)
+
+
+# DuckDB has no crc32: the checksum's eight shifts a byte are folded over the decimal's bytes.
+ORACLE["op12_conversation_trie"] = """
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text,
+         octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '') AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({'k': k, 'n': length(text)} ORDER BY turn NULLS FIRST, sha256(k)) AS ts FROM rows GROUP BY conv_id
+), marked AS (
+  SELECT conv_id, ts, conv_id - conv_id % 100 AS base, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))),
+    4294967295::BIGINT) % 6 AS h FROM own
+), rebuilt AS (
+  SELECT m.conv_id, list_concat(list_slice(coalesce(b.ts, []), 1, h), list_slice(m.ts, h + 1, len(m.ts))) AS ts
+  FROM marked m LEFT JOIN own b ON b.conv_id = m.base
+), prefixes AS (
+  SELECT conv_id, d, list_slice(ts, 1, d) AS p, d = len(ts) AS ends FROM (SELECT *, unnest(range(len(ts) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY p, d
+), below AS (SELECT list_slice(p, 1, d - 1) AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1
+), whole AS (SELECT n.*, coalesce(b.n_children, 0) AS n_children FROM nodes n LEFT JOIN below b USING (p)
+), up AS (
+  SELECT list_slice(p, 1, k) AS p, sum((n_children = 0)::BIGINT) AS n_leaves,
+         sum(CASE WHEN d > 0 THEN (n_convs - 1) * p[d].n ELSE 0 END) AS saved_tokens
+  FROM (SELECT *, unnest(range(d + 1)) AS k FROM whole) GROUP BY 1
+)
+SELECT w.conv_id, w.d::BIGINT AS depth, q.conv_id AS parent_conv_id, w.n_convs::BIGINT AS n_convs,
+       w.n_children::BIGINT AS n_children, u.n_leaves::BIGINT AS n_leaves, u.saved_tokens::BIGINT AS saved_tokens, w.ends_sha256
+FROM whole w JOIN up u ON u.p = w.p LEFT JOIN nodes q ON w.d > 0 AND q.p = list_slice(w.p, 1, w.d - 1)
+"""
