@@ -35,19 +35,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import materialize, pieces, release, smallest
+from kestrel.llm.common import materialize, pieces, release, scratch_path, smallest
 
 DICTIONARY = 20_000
 MASK = "[SECRET]"
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}={0,2}")
 _ASSIGNED = re.compile(r"(?i)(?:passw(?:or)?d|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)s?"
                        r"[\"']?[ \t]{0,3}[:=][ \t]{0,3}"
-                       r"(?:\"((?:[^\"\\\r\n]|\\.){6,4096}+)\"|'((?:[^'\\\r\n]|\\.){6,4096}+)'|[\"']?+(\S{6,}))")
+                       r"(?:\"((?:[^\"\\\r\n]|\\.){6,}+)\"|'((?:[^'\\\r\n]|\\.){6,}+)'|[\"']?+(\S{6,}))")
 _TRAILING = ".,;:)]}>\"'"
 _DENSE = re.compile("[0-9]|[a-z][A-Z]|[A-Z]{16}")
 _WORD = re.compile(r"[^\W\d_]{3,16}")
@@ -111,8 +111,8 @@ def candidates(docs: DataFrame, path: str | None = "source") -> DataFrame:
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY) -> list[tuple[str, int]]:
-    """The most frequent words of all documents with their counts: those of the
-    largest counts, as long as all words of a count fit into ``size``."""
+    """The ``size`` most frequent words of all documents with their counts. Of the words
+    that share the last count that has room, those of least hash fill it up."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -133,10 +133,14 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY) -> list[tuple[str, int]]
     counted = materialize(words.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     levels = counted.groupBy("n").agg(F.count(F.lit(1)).alias("words"))  # few: most counts are shared by many words
     ahead = Window.orderBy(F.desc("n"))
-    least = levels.withColumn("so_far", F.sum("words").over(ahead)).where(F.col("so_far") <= size).agg(F.min("n")).first()[0]
-    if least is None:
-        return []
-    out = sorted(tuple(r) for r in counted.where(F.col("n") >= least).collect())  # at most ``size`` short words
+    so_far = levels.withColumn("so_far", F.sum("words").over(ahead))
+    whole = F.when(F.col("so_far") <= size, F.struct("so_far", "n"))
+    taken, last = so_far.agg(F.max(whole), F.max(F.when(F.col("so_far") > size, F.col("n")))).first()
+    out = [tuple(r) for r in counted.where(F.col("n") >= taken["n"]).collect()] if taken else []  # at most ``size`` short words
+    room = size - (taken["so_far"] if taken else 0)
+    if last is not None and room:
+        out += [tuple(r) for r in smallest(counted.where(F.col("n") == last), F.xxhash64("word"), ["word"], room).collect()]
+    out.sort()
     release(counted)
     return out
 
@@ -221,8 +225,12 @@ class Forest:
         grow = self._features(chosen.where(~half))
         if grow.select("label").distinct().count() < 2:
             grow = self._features(chosen)
-        self.model = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth,
-                                            seed=seed).fit(materialize_vectors(grow))
+        fitted = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth,
+                                        seed=seed).fit(materialize_vectors(grow))
+        # A fitted model carries its training summary, and with it the session, into the tasks; a stored one does not.
+        path = scratch_path(labelled.sparkSession, "forest")
+        fitted.write().save(path)
+        self.model = RandomForestClassificationModel.load(path)
 
     def _features(self, findings: DataFrame) -> DataFrame:
         out = findings

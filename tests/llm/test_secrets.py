@@ -139,3 +139,17 @@ def test_labels_are_false_by_evidence_only(docs):
 def test_assigned_values_are_taken_whole(text, value):
     got = [text[a:b] for a, b, _ in secrets.spans(text)]
     assert got == ([value] if len(value) >= 6 else [])
+
+
+def test_a_long_quoted_value_is_one_candidate():
+    value = "first words " * 900
+    assert secrets.spans(f'token = "{value}" end') == [(9, 9 + len(value), True)]
+
+
+def test_the_dictionary_is_filled_among_equal_counts(docs):
+    rare = [f"{a}{b}{c}{d}" for a in "abcde" for b in "fghij" for c in "klmno" for d in "pqrst"]
+    rows = [(1, " ".join(rare), "s"), (2, "often often seldom seldom", "s")]
+    for size in (1, 2, 10, 5000):
+        found = secrets.dictionary(docs(rows), size)
+        assert found == sorted(found) and set(found) <= {("often", 2), ("seldom", 2), *((w, 1) for w in rare)}
+        assert size // 2 <= len(found) <= size if size < 600 else len(found) == 627
