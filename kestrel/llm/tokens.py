@@ -219,9 +219,10 @@ class WordIds:
 
 
 class WordTable:
-    """Ids of words in flat arrays, found by a 64-bit hash and checked by length and
-    end bytes: some 30 bytes a word, a tenth of a dictionary's. It is emptied when
-    it holds ``TABLE_WORDS`` words."""
+    """Ids of words in flat arrays, found by a 64-bit hash and compared byte by byte:
+    some 40 bytes a word, an eighth of a dictionary's. Of words with one hash the first
+    is found; the others are encoded anew each time. It is emptied when it holds
+    ``TABLE_WORDS`` words."""
 
     def __init__(self):
         self.clear()
@@ -229,7 +230,9 @@ class WordTable:
     def clear(self) -> None:
         self.hash = [np.empty(0, np.uint64), np.empty(0, np.uint64)]  # large and recent part, each sorted
         self.entry = [np.empty(0, np.int64), np.empty(0, np.int64)]
-        self.check, self.start, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int32)
+        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int32)
+        self.letters, self.written = np.empty(1 << 20, dtype=np.uint8), 0  # the words themselves
+        self.word_at, self.word_size = np.empty(0, np.int64), np.empty(0, np.int64)
         self.pool, self.used = np.empty(1 << 20, dtype="<u4"), 0
 
     def find(self, words: pa.LargeStringArray, ids_of) -> tuple[np.ndarray, np.ndarray]:
@@ -240,24 +243,40 @@ class WordTable:
         raw = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)
         first, last = ends[:-1], ends[1:]
         hashes = span_hashes(raw, first, last)
-        empty = first == last
-        edge = np.append(raw, np.uint8(0)).astype(np.uint32)
-        check = (last - first).astype(np.uint32) << np.uint32(16) | edge[np.minimum(first, len(raw))] << np.uint32(8) \
-            | np.where(empty, 0, edge[last - 1])
         found = np.full(len(words), -1, dtype=np.int64)
         for keys, entries in zip(self.hash, self.entry):
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-                hit = keys[at] == hashes
-                hit &= self.check[entries[at]] == check
+                hit = np.flatnonzero(keys[at] == hashes)
+                hit = hit[self._equal(entries[at[hit]], raw, first[hit], last[hit])]
                 found[hit] = entries[at[hit]]
         new = np.flatnonzero(found < 0)
         if len(new):
             ids = ids_of(words.take(pa.array(new)).to_numpy(zero_copy_only=False).tolist())
-            found[new] = self._add(hashes[new], check[new], ids)
+            found[new] = self._add(hashes[new], raw, first[new], last[new], ids)
         return self.start[found], self.size[found]
 
-    def _add(self, hashes: np.ndarray, check: np.ndarray, ids: list[bytes]) -> np.ndarray:
+    def _equal(self, entries: np.ndarray, raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Whether the entries' words are the bytes of the spans of ``raw``."""
+        size = last - first
+        same = self.word_size[entries] == size
+        size = np.where(same, size, 0)
+        before = np.cumsum(size) - size
+        step = np.arange(int(size.sum()))
+        differs = raw[step + np.repeat(first - before, size)] != self.letters[step + np.repeat(self.word_at[entries] - before, size)]
+        same[np.repeat(np.arange(len(size)), size)[differs]] = False
+        return same
+
+    def _add(self, hashes: np.ndarray, raw: np.ndarray, first: np.ndarray, last: np.ndarray, ids: list[bytes]) -> np.ndarray:
+        length = last - first
+        ahead = np.cumsum(length) - length
+        total = int(length.sum())
+        while self.written + total > len(self.letters):
+            self.letters = np.concatenate([self.letters, np.empty_like(self.letters)])
+        self.letters[self.written:self.written + total] = raw[np.arange(total) + np.repeat(first - ahead, length)]
+        self.word_at = np.concatenate([self.word_at, self.written + ahead])
+        self.word_size = np.concatenate([self.word_size, length])
+        self.written += total
         flat = np.frombuffer(b"".join(ids), dtype="<u4")
         size = np.fromiter(map(len, ids), dtype=np.int32, count=len(ids)) >> 2
         while self.used + len(flat) > len(self.pool):
@@ -265,7 +284,7 @@ class WordTable:
         self.pool[self.used:self.used + len(flat)] = flat
         entry = np.arange(len(self.start), len(self.start) + len(ids))
         self.start = np.concatenate([self.start, self.used + np.cumsum(size, dtype=np.int64) - size])
-        self.size, self.check = np.concatenate([self.size, size]), np.concatenate([self.check, check])
+        self.size = np.concatenate([self.size, size])
         self.used += len(flat)
         part = 0 if len(self.hash[1]) > 1 << 17 else 1
         keys = [hashes] if part else [self.hash[1], hashes]

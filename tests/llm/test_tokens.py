@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, tokenbin, tokens
+from kestrel.llm import bpe, textnum, tokenbin, tokens
 from kestrel.llm.common import scratch_path
 
 PATH = tokens.default_tokenizer()
@@ -197,3 +197,24 @@ def test_files_with_small_blocks_and_groups(spark, docs, monkeypatch):
             before += len(raw) // 4
             got[doc] = raw
     assert got == want
+
+
+def thue_morse(n, letters):
+    return "".join(letters[bin(k).count("1") % 2] for k in range(n))
+
+
+@pytest.mark.parametrize("make", [lambda p: tokens.WordIds(p), lambda p: bpe.ChunkEncoder(p)])
+@pytest.mark.parametrize("size", [1024, 4096])
+@pytest.mark.parametrize("flip", [False, True])
+def test_words_of_one_hash_keep_their_own_ids(make, size, flip):
+    """A power hash modulo 2**64 gives a Thue-Morse word and its complement one value."""
+    pair = ["x" + thue_morse(size, "ab") + "x", "x" + thue_morse(size, "ba") + "x"]
+    ends = np.array([0, size + 2])
+    raw = [np.frombuffer(w.encode(), dtype=np.uint8) for w in pair]
+    assert textnum.span_hashes(raw[0], ends[:1], ends[1:]) == textnum.span_hashes(raw[1], ends[:1], ends[1:])
+    path = tokens.default_tokenizer()
+    library = tokens.load(path)
+    encoder = make(path)
+    for text in [*(pair[::-1] if flip else pair), " ".join(pair), *pair]:
+        found = np.frombuffer(b"".join(encoder.encode_many([text])), dtype="<u4").tolist()
+        assert found == library.encode(text, add_special_tokens=False).ids
