@@ -11,7 +11,8 @@ entry whatever its size. Distinct fingerprints are cut into tiles whose members
 agree in the population counts of both 32-bit halves. Two fingerprints within
 ``radius`` bits differ in those counts by at most ``radius`` together, so a tile
 meets only tiles whose counts are that near; all other tile pairs are skipped.
-A met pair of tiles is compared whole with numpy exclusive-or and bit counts,
+The pairs of two classes are dealt over a grid of cells of ``SIDE`` x ``SIDE`` tiles, so
+a class that holds most fingerprints is many keys of like size. A met pair of tiles is compared whole with numpy exclusive-or and bit counts,
 and gives a spanning forest of its links (at most one row a fingerprint), which
 keeps every connection while a large group of near copies cannot emit its square.
 
@@ -39,6 +40,7 @@ _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACES = bytes([9, 10, 11, 12, 13, 32])
 _STEP = 1 << 15
 TILE = 2048
+SIDE = 16  # tiles a side of a grid cell, the work of one key
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -117,18 +119,33 @@ def _forest(i: np.ndarray, j: np.ndarray, n: int) -> list[int]:
     return out
 
 
-def links(tiled: DataFrame, radius: int = 3) -> DataFrame:
-    """(a, b): links that connect all fingerprints within ``radius`` bits."""
+def met(tiled: DataFrame, radius: int = 3, side: int = SIDE) -> DataFrame:
+    """(cell, same, a, b): every pair of tiles that may hold a link, once; ``cell`` is the
+    grid cell, with at most about ``side ** 2`` pairs."""
     steps = [(x, y) for x in range(-radius, radius + 1) for y in range(-radius, radius + 1)
              if abs(x) + abs(y) <= radius and (x, y) >= (0, 0)]
     shift = F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in steps])).alias("s")
-    left = (tiled.select("hi", "lo", "no", F.col("members").alias("a"), shift)
-            .select((F.col("hi") + F.col("s.x")).alias("hi2"), (F.col("lo") + F.col("s.y")).alias("lo2"),
-                    F.col("no").alias("no1"), "a", ((F.col("s.x") == 0) & (F.col("s.y") == 0)).alias("own")))
-    right = tiled.select(F.col("hi").alias("hi2"), F.col("lo").alias("lo2"), "no", F.col("members").alias("b"))
-    met = (left.join(right, ["hi2", "lo2"]).where(~F.col("own") | (F.col("no1") <= F.col("no")))
-           .select((F.col("own") & (F.col("no1") == F.col("no"))).alias("same"), "a", "b"))
+    grid = tiled.groupBy("hi", "lo").agg(F.ceil(F.count(F.lit(1)) / side).cast("int").alias("g"))
+    grid = materialize(grid, "tile-grid")  # at most 33 * 33 rows
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def placed(x: str, y: str, sign: int, mine: str, other: str, columns: list) -> DataFrame:
+        own = tiled.select("*", shift)
+        meets = [(F.col("hi") + sign * F.col("s.x")).alias("_h"), (F.col("lo") + sign * F.col("s.y")).alias("_l")]
+        own = own.select("*", *meets).join(F.broadcast(grid.withColumnsRenamed({"hi": "_h", "lo": "_l", "g": "_g"})), ["_h", "_l"])
+        own = own.join(F.broadcast(grid), ["hi", "lo"])
+        return own.select(F.struct(F.col(x).alias("hi"), F.col(y).alias("lo")).alias("class"), "s", F.pmod("no", "g").cast("int").alias(mine),
+                          every("_g").alias(other), *columns)
+
+    left = placed("_h", "_l", 1, "i", "j", [F.col("no").alias("no1"), F.col("members").alias("a")])
+    right = placed("hi", "lo", -1, "j", "i", ["no", F.col("members").alias("b")])
+    own = (F.col("s.x") == 0) & (F.col("s.y") == 0)
+    return (left.join(right, ["class", "s", "i", "j"]).where(~own | (F.col("no1") <= F.col("no")))
+            .select(F.struct("class", "s", "i", "j").alias("cell"), (own & (F.col("no1") == F.col("no"))).alias("same"), "a", "b"))
 
+
+def links(tiled: DataFrame, radius: int = 3) -> DataFrame:
+    """(a, b): links that connect all fingerprints within ``radius`` bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for same, a, b in zip(batch.column("same").to_pylist(), batch.column("a"), batch.column("b")):
@@ -139,7 +156,7 @@ def links(tiled: DataFrame, radius: int = 3) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(x[i[kept]].view(np.int64)),
                                                       pa.array(y[j[kept]].view(np.int64))], ["a", "b"])
 
-    return met.mapInArrow(run, "a bigint, b bigint")
+    return met(tiled, radius).select("same", "a", "b").mapInArrow(run, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -120,3 +120,28 @@ def test_long_path_contracts(spark):
 def test_empty(docs):
     assert simhash.near_duplicates(docs([])).count() == 0
     assert [tuple(r) for r in simhash.near_duplicates(docs([(3, None, "a")])).collect()] == [(3, "0" * 16, 3)]
+
+
+def test_a_hot_class_is_dealt_over_grid_cells(spark):
+    """Half of all fingerprints in one class of population counts: no key holds more than
+    its square of tile pairs, every pair is met once, and the links are those of brute force."""
+    rng = random.Random(8)
+
+    def counts(hi, lo):
+        bits = rng.sample(range(32), lo) + [32 + b for b in rng.sample(range(32), hi)]
+        return sum(1 << b for b in bits)
+
+    fps = {counts(16, 16) for _ in range(700)} | {rng.getrandbits(64) for _ in range(700)}
+    fps |= {f ^ (1 << rng.randrange(64)) for f in list(fps)[:200]}
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    tiled = simhash.materialize(simhash.tiles(spark.createDataFrame([(f,) for f in signed], "fp long"), tile=16), "t")
+    met = simhash.materialize(simhash.met(tiled, 3, side=4), "t")
+    per = met.groupBy("cell").count().agg(F.max("count"), F.count("count")).first()
+    assert per[0] <= 4 * 6 * 6 and per[1] > 100  # hashes fill cells unevenly
+    pairs = met.select(F.array_min("a").alias("x"), F.array_min("b").alias("y"), "same")
+    assert pairs.count() == pairs.distinct().count()
+    near = {(min(a, b), max(a, b)) for k, a in enumerate(signed) for b in signed[k + 1:]
+            if ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 3}
+    grouped = {r["node"]: r["root"] for r in simhash.components(simhash.links(tiled)).collect()}
+    assert all(grouped[a] == grouped[b] for a, b in near)
+    assert set(grouped) == {x for p in near for x in p}
