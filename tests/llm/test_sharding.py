@@ -62,3 +62,37 @@ def test_odd_rows_and_empty(odd, docs):
     assert place(docs([])).count() == 0 and place(docs([]), law="rows").count() == 0
     with pytest.raises(ValueError):
         place(odd, law="weight")
+
+
+def brute(rows, shards, seed=42):
+    """Shard and grown shard of every id by Spark's xxhash64, one row at a time."""
+    return {r["id"]: (r["s"], r["g"]) for r in rows.select(
+        F.col("doc_id").alias("id"), sharding.key_shard(F.col("doc_id"), shards, seed).alias("s"),
+        sharding.key_shard(F.col("doc_id"), shards + 1, seed).alias("g")).distinct().collect()}
+
+
+def test_a_third_of_rows_alike_is_dealt_over_buckets(spark, docs):
+    rows = [(k, f"text {k}", "s") for k in range(300)] + [(None, None, "s")] * 150
+    df = docs(rows)
+    placed = sharding.shuffled(df, 4, bucket_bytes=100, copies=20)
+    got = placed.collect()
+    assert len(got) == 450 and sum(r["doc_id"] is None for r in got) == 150
+    want = brute(df, 4)
+    assert all((r["shard"], r["grown_shard"]) == want[r["doc_id"]] for r in got)
+    by = {}
+    for r in got:
+        by.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    mine = sorted(r["slot"] for r in got if r["doc_id"] is None)
+    assert mine != list(range(mine[0], mine[0] + 150))  # among the others, not in one run
+    again = sharding.shuffled(df.repartition(5), 4, bucket_bytes=100, copies=20).collect()
+    key = lambda r: (str(r["doc_id"]), r["slot"])
+    assert sorted(map(key, got)) == sorted(map(key, again))
+
+
+def test_tasks_are_bounded_and_offsets_are_not_broadcast_by_hint(docs):
+    placed = sharding.shuffled(docs(rows_of()), 4, bucket_bytes=50, max_tasks=6)
+    assert "hashpartitioning(bucket" in placed._jdf.queryExecution().executedPlan().toString()
+    assert "RepartitionByExpression" in placed._jdf.queryExecution().optimizedPlan().toString()
+    assert ", 6" in placed._jdf.queryExecution().optimizedPlan().toString()
+    assert "ResolvedHint" not in placed._jdf.queryExecution().analyzed().toString()
