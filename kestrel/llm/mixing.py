@@ -140,10 +140,11 @@ def draw(docs: DataFrame, weights: tuple = (3, 1, 2), budget: float = 1.5, epoch
     plan = drawn.groupBy("sid", "block").agg(
         F.sort_array(F.collect_list(F.struct("pass", "shard", "words_taken"))).alias("draws"))  # one entry a pass
 
+    none = F.array().cast("array<struct<pass:int,shard:int,words:bigint>>")
     inside = Window.partitionBy("sid", "block").orderBy(F.xxhash64(F.lit(seed + 2), "doc_id", "text_key"), "doc_id",
                                                         "text_key", "size")
     ran = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = rows.withColumn("ran", ran).join(plan, ["sid", "block"], "left")
+    placed = rows.where("size > 0").withColumn("ran", ran).join(plan, ["sid", "block"], "left")
 
     def words(draw: Column) -> Column:
         inside = F.greatest(F.lit(0), F.least(F.col("size"), draw["words_taken"] - F.col("ran")))
@@ -152,8 +153,9 @@ def draw(docs: DataFrame, weights: tuple = (3, 1, 2), budget: float = 1.5, epoch
     parts = F.filter(F.transform("draws", lambda d: F.struct(
         d["pass"].alias("pass"), d["shard"].alias("shard"), words(d).alias("words"))),
         lambda p: p["words"] > 0)
-    parts = F.coalesce(parts, F.array().cast("array<struct<pass:int,shard:int,words:bigint>>"))
-    placed = placed.select("doc_id", "text_key", "source", "size", "source_size", "target", parts.alias("parts"))
+    shown = ["doc_id", "text_key", "source", "size", "source_size", "target"]
+    placed = placed.select(*shown, F.coalesce(parts, none).alias("parts"))
+    placed = placed.unionByName(rows.where("size = 0").select(*shown, none.alias("parts")))  # never taken, in no block
     total = F.aggregate("parts", F.lit(0).cast("long"), lambda acc, p: acc + p["words"])
     return placed.withColumn("taken", total)
 
@@ -161,10 +163,9 @@ def draw(docs: DataFrame, weights: tuple = (3, 1, 2), budget: float = 1.5, epoch
 def mix(docs: DataFrame, seed: int = 9, text: str = "text", key: str = "doc_id", source: str = "source",
         **options) -> DataFrame:
     """The mixed rows: every column of ``docs``, a row for each pass that takes the
-    document (its text cut to the words taken, never with ``whole``), with ``shard`` and the seeded
-    ``order`` of the row in its shard."""
+    document (always whole), with ``shard`` and the seeded ``order`` of the row in its shard."""
     docs = docs.drop("shard", "order")
-    plan = (draw(docs, seed=seed, text=text, key=key, source=source, **options).where("taken > 0")
+    plan = (draw(docs, seed=seed, text=text, key=key, source=source, whole=True, **options).where("taken > 0")
             .groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("source").alias("_source"))
             .agg(F.flatten(F.collect_list("parts")).alias("_parts"), F.count(F.lit(1)).alias("_rows")))
     plan = materialize(plan, "mix-plan")
@@ -175,7 +176,5 @@ def mix(docs: DataFrame, seed: int = 9, text: str = "text", key: str = "doc_id",
         one = Window.partitionBy("_id", "_key", "_source").orderBy(*[c for c in docs.columns if c not in (key, text, source)], F.lit(0))
         rows = rows.withColumn("_copy", F.row_number().over(one)).where("_copy = 1").drop("_copy")
     rows = rows.select(*docs.columns, F.explode("_parts").alias("_part"))
-    words = F.slice(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), F.lit(1), F.col("_part.words").cast("int"))
-    cut = F.when(F.col("_part.words") < word_count(F.col(text)), F.concat_ws(" ", words)).otherwise(F.col(text))
-    return rows.select(*[cut.alias(c) if c == text else F.col(c) for c in docs.columns], F.col("_part.shard").alias("shard"),
+    return rows.select(*docs.columns, F.col("_part.shard").alias("shard"),
                        F.xxhash64(F.lit(seed + 3), key, "_part.pass").alias("order"))

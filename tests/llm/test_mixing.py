@@ -76,7 +76,7 @@ def test_splitting_tree_is_exact_and_near_the_hypergeometric_mean(spark):
 
 def test_mixed_rows_hold_the_words_taken(docs):
     rows = corpus(3, 120)
-    taken = {r["doc_id"]: r["taken"] for r in plan(docs, rows, block_words=80)}
+    taken = {r["doc_id"]: r["taken"] for r in plan(docs, rows, block_words=80, whole=True)}
     mixed = mixing.mix(docs(rows), block_words=80).collect()
     got = {}
     for r in mixed:
@@ -90,7 +90,7 @@ def test_odd_rows(odd):
     assert len(got) == 9 and sum(r["taken"] for r in got) == round(1.5 * sum(r["size"] for r in got))
     assert all(r["taken"] == 0 for r in got if not r["size"])
     mixed = mixing.mix(odd).withColumn("n", mixing.word_count(F.col("text"))).agg(F.sum("n")).first()[0]
-    assert mixed == sum(r["taken"] for r in got)
+    assert mixed == sum(r["taken"] for r in mixing.draw(odd, whole=True).collect())
 
 
 def test_empty(docs):
@@ -110,4 +110,4 @@ def test_whole_documents_are_taken_or_left(docs):
         part = r["taken"] % r["size"]
         assert got[i]["taken"] == r["taken"] - part + (r["size"] if 2 * part >= r["size"] else 0)
     texts = {i: t for i, t, _ in rows}
-    assert all(r["text"] == texts[r["doc_id"]] for r in mixing.mix(docs(rows), block_words=100, whole=True).collect())
+    assert all(r["text"] == texts[r["doc_id"]] for r in mixing.mix(docs(rows), block_words=100).collect())

@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from kestrel.llm import bpe, mixing, quality, secrets, simhash, tokens
@@ -68,7 +69,7 @@ def test_whole_run_against_brute_force(spark):
     assert all(r["text"] == known.sub(secrets.MASK, second[k]) for k, r in third.items())
 
     four = P.materialize(run_stage("mixing", spark, three), "t")
-    plan = {r["doc_id"]: r for r in mixing.draw(three).collect()}
+    plan = {r["doc_id"]: r for r in mixing.draw(three, whole=True).collect()}
     words = {}
     for r in four.collect():
         assert r["n_chars"] == len(r["text"]) and r["source"] == third[r["doc_id"]]["source"]
@@ -109,3 +110,18 @@ def test_groups_of_copies_leave_one(spark, docs):
     rows = [(k, base[k % 5], "s") for k in range(50)] + [(3, base[3], "s")]
     got = run_stage("near_duplicates", spark, docs(rows)).collect()
     assert sorted(r["doc_id"] for r in got) == [0, 1, 2, 3, 4]
+
+
+def test_stages_run_in_a_session_that_has_observed(spark, docs):
+    """An observation manager in the session must not reach the tasks that score."""
+    from pyspark.sql import Observation
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    rng = random.Random(6)
+    rows = [(k, " ".join("w%d" % rng.randint(0, 99) for _ in range(30))
+             + (" AKIA" + "".join(rng.choice("ABCDEFGH234567") for _ in range(16)) if k % 2 else " %020d" % rng.randrange(10 ** 20)), "s")
+            for k in range(60)]
+    found = secrets.scan(docs(rows)).collect()
+    assert {r["is_secret"] for r in found} == {0, 1}
+    assert any(secrets.MASK in r["text"] for r in run_stage("secrets", spark, docs(rows)).collect())
