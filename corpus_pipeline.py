@@ -7,8 +7,8 @@ Parquet and read again as the next stage's input.
    document stays, that of smallest doc_id (null ids last, then by text hash).
 3. secrets: spans that the secret scan calls true are masked in the text.
 4. mixing: documents are drawn to the target weights of their sources; a document
-   drawn in two passes has two rows, and the last document that a source's quota
-   reaches keeps only its first words.
+   drawn in two passes has two rows. Documents stay whole: the last one that a
+   source's quota reaches is taken or left, whichever total is nearer the target.
 5. tokens: every text is encoded and decoded; the result is (doc_id, n_tokens,
    ids_sha256, decoded_sha256) per row of stage 4.
 
