@@ -199,9 +199,9 @@ n AS (SELECT v.id, (SELECT count(*) FROM e WHERE e.dst = v.id) AS in_degree,
 SELECT id, in_degree, out_degree FROM n WHERE in_degree = out_degree
 """
 
-ORACLE["graph_components"] = f"""
+ORACLE["graph_components_all"] = f"""
 WITH RECURSIVE {G_CTE},
-b AS MATERIALIZED (SELECT src, dst FROM e WHERE weight >= 50 UNION SELECT dst, src FROM e WHERE weight >= 50),
+b AS MATERIALIZED (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
 c(id, component) USING KEY (id) AS (
   SELECT id, id FROM v
   UNION
@@ -212,17 +212,21 @@ c(id, component) USING KEY (id) AS (
 SELECT id, component FROM c
 """
 
-ORACLE["graph_components_all"] = f"""
+
+ORACLE["graph_components"] = ORACLE["graph_components_all"].rstrip().removesuffix("SELECT id, component FROM c") + \
+    "SELECT component, count(*) AS vertices FROM c GROUP BY component"
+
+# Changes are passed on, round by round, by the vertices whose last change exceeds the tolerance.
+ORACLE["graph_pagerank_by_vertex"] = f"""
 WITH RECURSIVE {G_CTE},
-b AS MATERIALIZED (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
-c(id, component) USING KEY (id) AS (
-  SELECT id, id FROM v
-  UNION
-  SELECT n.id, n.component
-  FROM (SELECT b.dst AS id, min(p.component) AS component FROM b JOIN c p ON b.src = p.id GROUP BY b.dst) n
-  JOIN recurring.c o ON o.id = n.id WHERE n.component < o.component
+od AS MATERIALIZED (SELECT src, count(*) AS deg FROM e GROUP BY src),
+r(k, id, change) AS (
+  SELECT 0, id, 0.15::DOUBLE FROM v
+  UNION ALL
+  SELECT max(r.k) + 1, e.dst, 0.85 * sum(r.change / od.deg)
+  FROM r JOIN od ON od.src = r.id JOIN e ON e.src = r.id WHERE r.change > 0.001 GROUP BY e.dst
 )
-SELECT id, component FROM c
+SELECT v.id, round(sum(r.change), 6) AS rank FROM r JOIN v USING (id) GROUP BY v.id
 """
 
 
@@ -276,6 +280,19 @@ SELECT strftime(ws, {_FMT}) AS window_start, strftime(ws + INTERVAL 6 HOURS, {_F
 FROM w GROUP BY ws, event_type
 """
 
+ORACLE["sliding_inverse"] = ORACLE["sliding_counts"]
+
+ORACLE["stateful_balance"] = """
+SELECT user_id, sum(CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN -1 ELSE 0 END)::BIGINT AS balance
+FROM events GROUP BY user_id HAVING balance <> 0
+"""
+
+ORACLE["offset_batches"] = """
+SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition, true AS contiguous,
+       count(*) AS until_offset, count(*) AS n
+FROM events GROUP BY 1, 2
+"""
+
 _CONV_WORDS = r"""lines AS (SELECT unnest(string_split(text, chr(10))) AS v FROM conversations),
 toks AS (SELECT unnest(CASE WHEN v = '' THEN ['']
                             WHEN rtrim(v, ' ') = '' THEN []::VARCHAR[]
@@ -288,6 +305,8 @@ SELECT word, count(*) AS n FROM toks GROUP BY word
 
 ORACLE["running_totals"] = f"WITH {_CONV_WORDS} SELECT word, count(*) AS n FROM toks GROUP BY word"
 
+ORACLE["recovered_totals"] = ORACLE["running_totals"]
+
 ORACLE["stream_relay"] = "SELECT 'relay:' || coalesce(text, 'null') AS value FROM conversations"
 
 ORACLE["offset_ledger"] = """

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,7 @@ from kestrel.session import scratch_path
 from kestrel.sources import derived, readers, schemas, writers
 from kestrel.sources.tables import table
 from kestrel.streaming import runners as R
+from kestrel.streaming import stateful as SF
 from kestrel.streaming import transforms as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -273,11 +274,9 @@ def q_graph_components_all(spark, sf_dir):
 
 @register("graph_components")
 def q_graph_components(spark, sf_dir):
-    """Components of the subgraph of the heaviest edges (weight of 50 or more); over
-    all edges: ``graph_components_all``."""
-    g = _g(spark, sf_dir)
-    heavy = G.PropertyGraph(g.vertices, g.edges.where("weight >= 50").select("src", "dst"))
-    return G.connected_components(heavy)[0]
+    """The components of the whole graph with their sizes."""
+    found = G.connected_components(_g(spark, sf_dir))[0]
+    return found.groupBy("component").agg(F.count(F.lit(1)).alias("vertices"))
 
 
 @register("graph_oldest_follower")
@@ -309,6 +308,12 @@ def q_graph_pagerank_top(spark, sf_dir):
     return ranking.top_k(rounded, [F.desc("rank"), F.asc("id")], 10)
 
 
+@register("graph_pagerank_by_vertex")
+def q_graph_pagerank_by_vertex(spark, sf_dir):
+    ranks, _ = G.pagerank_by_vertex(_g(spark, sf_dir), tol=0.001)
+    return ranks.select("id", F.round("rank", 6).alias("rank"))
+
+
 # --- streaming (S20-S23, T1-T8) ----------------------------------------------------
 
 _WINDOW_SCHEMA = T.StructType([T.StructField("window_start", T.StringType()),
@@ -336,6 +341,32 @@ def q_sliding_counts(spark, sf_dir):
     return _window_query(spark, sf_dir, "sliding_counts", "3 hours")
 
 
+@register("sliding_inverse")
+def q_sliding_inverse(spark, sf_dir):
+    """The sliding counts by adding the newest and taking off the oldest pane."""
+    base = scratch_path(spark, "sliding_inverse")
+    ev = ST.with_event_time(R.table_stream(spark, sf_dir, "events", ["ts", "event_type"]), delay=None)
+    R.run_batches(ev, SF.inverse_windows(base, "event_type", 6 * 3600, 3 * 3600), f"{base}/checkpoint")
+    return R.latest_per_key(R.read_batches(spark, f"{base}/data", _WINDOW_SCHEMA),
+                            ["window_start", "window_end", "event_type"], ["n"])
+
+
+@register("stateful_balance")
+def q_stateful_balance(spark, sf_dir):
+    """A balance per user kept by an update rule (clicks add, views take off, a balance
+    of 0 is removed): the whole state that the last batch emits."""
+    base = scratch_path(spark, "stateful_balance")
+    step = F.sum(F.when(F.col("event_type") == "click", 1).when(F.col("event_type") == "view", -1).otherwise(0))
+    total = lambda value, old: F.coalesce(value, F.lit(0)) + F.coalesce(old, F.lit(0))
+    update = lambda value, old: F.when(total(value, old) != 0, total(value, old))
+    ev = R.table_stream(spark, sf_dir, "events", ["user_id", "event_type"])
+    R.run_batches(ev, SF.state_updates(base, "user_id", step, update), f"{base}/checkpoint")
+    kind = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("state", T.LongType())])
+    emitted = R.read_batches(spark, f"{base}/data", kind)
+    last = emitted.agg(F.max("batch_id")).first()[0]
+    return emitted.where(F.col("batch_id") == last).select("user_id", F.col("state").alias("balance"))
+
+
 def _conversation_lines(spark, sf_dir):
     conv = R.table_stream(spark, sf_dir, "conversations", ["text"])
     return text.document_lines(conv)
@@ -364,6 +395,18 @@ def q_running_totals(spark, sf_dir):
     return R.latest_per_key(R.read_batches(spark, data, _WORD_SCHEMA), ["word"], ["n"])
 
 
+@register("recovered_totals")
+def q_recovered_totals(spark, sf_dir):
+    """Running totals of a stream that is stopped after two batches and finished by a
+    second run from its checkpoint, which holds offsets and state."""
+    base = scratch_path(spark, "recovered_totals")
+    counts = ST.word_counts(_conversation_lines(spark, sf_dir))
+    write = R.batch_writer(f"{base}/data")
+    R.run_some(counts, write, f"{base}/checkpoint", batches=2, output_mode="update")
+    R.run_batches(counts, write, f"{base}/checkpoint", "update")
+    return R.latest_per_key(R.read_batches(spark, f"{base}/data", _WORD_SCHEMA), ["word"], ["n"])
+
+
 @register("stream_relay")
 def q_stream_relay(spark, sf_dir):
     msgs = R.table_stream(spark, sf_dir, "conversations", ["text"]).withColumnRenamed("text", "value")
@@ -404,6 +447,24 @@ def q_offset_ledger(spark, sf_dir):
             .agg(F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset")))
 
 
+@register("offset_batches")
+def q_offset_batches(spark, sf_dir):
+    """The ledger batch by batch: ranges committed with their batch's output follow each
+    other without a gap, and together are the table."""
+    base = scratch_path(spark, "offset_batches")
+    columns = ["event_type", "user_id", "event_id", "ts"]
+    stream = _topic_records(R.table_stream(spark, sf_dir, "events", columns))
+    R.run_batches(stream, SF.contiguous_ranges(base, R.batch_writer(f"{base}/data")), f"{base}/checkpoint")
+    ledger = R.read_batches(spark, f"{base}/ledger", _LEDGER_SCHEMA)
+    order = Window.partitionBy("topic", "partition").orderBy("batch_id")  # a row a batch
+    follows = F.col("from_offset") == F.coalesce(F.lag("until_offset").over(order), F.lit(0))
+    ranges = (ledger.withColumn("follows", follows).groupBy("topic", "partition")
+              .agg(F.min("follows").alias("contiguous"), F.max("until_offset").alias("until_offset")))
+    schema = T.StructType([T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType())])
+    written = R.read_batches(spark, f"{base}/data", schema).groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n"))
+    return ranges.join(written, ["topic", "partition"]).select("topic", "partition", "contiguous", "until_offset", "n")
+
+
 @register("offset_resume")
 def q_offset_resume(spark, sf_dir, saved_days=20, kept_days=7):
     """Ledger saved by a run over the first ``saved_days`` days; retention keeps the

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,6 +77,33 @@ def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], che
     return q
 
 
+class Stopped(RuntimeError):
+    """Raised inside a stream to end it between two batches."""
+
+
+def run_some(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, batches: int,
+             output_mode: str = "append") -> bool:
+    """Run at most ``batches`` micro-batches of ``stream`` and stop it as a failure would:
+    the next batch has its offsets planned but is neither handled nor committed. A later
+    run with the same checkpoint and handler goes on with that batch. True if it stopped
+    before the end of the input."""
+    seen: set[int] = set()
+
+    def limited(df: DataFrame, batch_id: int) -> None:
+        if len(seen | {batch_id}) > batches:
+            raise Stopped(f"stopped before batch {batch_id}")
+        handle(df, batch_id)
+        seen.add(batch_id)
+
+    try:
+        run_batches(stream, limited, checkpoint, output_mode)
+    except StreamingQueryException as e:
+        if "Stopped" not in str(e):
+            raise
+        return True
+    return False
+
+
 def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch handler: write the batch under ``path/batch_id=<id>``,
     replacing that folder if the batch is replayed."""
