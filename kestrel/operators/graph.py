@@ -185,34 +185,47 @@ def _checkpoint(df: DataFrame, metric: Column | None = None):
 
 def vertex_program(g: PropertyGraph, start: Column, send: Column, merge: Callable[[Column], Column],
                    program: Callable[[Column, Column], Column], active: Column | None = None,
-                   max_rounds: int = 10_000) -> tuple[DataFrame, int]:
+                   max_rounds: int = 10_000, direction: str = "out", initial: Column | None = None,
+                   receiver: bool = False, strict: bool = True) -> tuple[DataFrame, int]:
     """General vertex program. Every vertex starts with state ``start`` (a Column
-    over the vertex attributes; NULL: no state yet). In each round the vertices
-    whose state changed send ``send`` (a Column over ``state``, ``src``, ``dst`` and
-    the edge attributes; NULL: no message) along their out-edges; messages to a
-    vertex are merged with the aggregate ``merge``, and ``program(state, message)``
+    over the vertex attributes; NULL: no state yet), changed by ``program(start,
+    initial)`` where ``initial`` (a Column over them too) gives it a message before the
+    first round. In each round the vertices whose state changed send ``send`` (a Column
+    over ``state``, ``src``, ``dst`` and the edge attributes; NULL: no message) along
+    their out-edges, or with ``direction`` along their in-edges or ``both``; with
+    ``receiver`` the message may also read ``other``, the receiver's state. Messages to
+    a vertex are merged with the aggregate ``merge``, and ``program(state, message)``
     gives its new state. ``active`` limits the first senders. Ends when no state
-    changes and returns (id, state) and the number of rounds; raises
-    :class:`NotConverged` when ``max_rounds`` leave a state changing.
+    changes and returns (id, state) and the number of rounds. When ``max_rounds``
+    leave a state changing it raises :class:`NotConverged`, or, unless ``strict``,
+    returns the states of that round.
 
     A round is one join of the frontier with the edges (Catalyst broadcasts it
     from its measured bytes, else both sides are shuffled and AQE splits a hot
     sender) and one grouped aggregate that merges the messages, partially in
     each task, with the old states. Rounds are written to the shared folder and
     the changes counted during that write."""
-    edges = _checkpoint(g.edges)
+    if direction not in ("out", "in", "both"):
+        raise ValueError(f"unknown direction {direction!r}")
+    ways = [g.edges.select(F.col(a).alias("_from"), F.col(b).alias("_to"), "*")
+            for way, a, b in (("out", "src", "dst"), ("in", "dst", "src")) if direction in (way, "both")]
+    edges = _checkpoint(ways[0] if len(ways) == 1 else ways[0].unionByName(ways[1]))
     changed = F.lit(True) if active is None else F.coalesce(active, F.lit(False))
-    states, n = _checkpoint(g.vertices.select("id", start.alias("state"), changed.alias("changed"))
+    first = start if initial is None else F.when(initial.isNull(), start).otherwise(program(start, initial))
+    states, n = _checkpoint(g.vertices.select("id", first.alias("state"), changed.alias("changed"))
                             .where(F.col("id").isNotNull()), F.count(F.when(F.col("changed"), 1)))
     kind = states.schema["state"].dataType
     rounds = 0
     while n:
         if rounds == max_rounds:
+            if not strict:
+                break
             raise NotConverged(f"{n} vertices still change after {rounds} rounds")
         rounds += 1
-        frontier = states.where("changed").select(F.col("id").alias("src"), "state")
-        sent = (edges.join(frontier, "src")
-                .select(F.col("dst").alias("id"), F.lit(None).cast(kind).alias("state"), send.cast(kind).alias("message"))
+        along = edges.join(states.where("changed").select(F.col("id").alias("_from"), "state"), "_from")
+        if receiver:  # edges are the probe side, so AQE can split a hub's
+            along = along.join(states.select(F.col("id").alias("_to"), F.col("state").alias("other")), "_to")
+        sent = (along.select(F.col("_to").alias("id"), F.lit(None).cast(kind).alias("state"), send.cast(kind).alias("message"))
                 .where(F.col("message").isNotNull()))
         held = states.select("id", "state", F.lit(None).cast(kind).alias("message"), F.lit(True).alias("own"))
         merged = (held.unionByName(sent.withColumn("own", F.lit(False))).groupBy("id")

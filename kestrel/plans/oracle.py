@@ -192,6 +192,20 @@ d(id, dist) USING KEY (id) AS (
 SELECT v.id, d.dist FROM v LEFT JOIN d ON v.id = d.id
 """
 
+ORACLE["graph_sssp_guarded"] = ORACLE["graph_sssp"]
+
+ORACLE["graph_lowest_reached"] = f"""
+WITH RECURSIVE {G_CTE},
+c(id, lowest) USING KEY (id) AS (
+  SELECT id, id FROM v
+  UNION
+  SELECT n.id, n.lowest
+  FROM (SELECT e.src AS id, min(p.lowest) AS lowest FROM e JOIN c p ON e.dst = p.id GROUP BY e.src) n
+  JOIN recurring.c o ON o.id = n.id WHERE n.lowest < o.lowest
+)
+SELECT id, lowest FROM c
+"""
+
 ORACLE["graph_balanced"] = f"""
 WITH {G_CTE},
 n AS (SELECT v.id, (SELECT count(*) FROM e WHERE e.dst = v.id) AS in_degree,

@@ -290,6 +290,27 @@ def q_graph_sssp(spark, sf_dir):
     return dist
 
 
+@register("graph_sssp_guarded")
+def q_graph_sssp_guarded(spark, sf_dir):
+    """Shortest distances by a program whose message is sent only where it is below the
+    receiver's own distance."""
+    g = _g(spark, sf_dir)
+    here, through = F.col("id") == F.lit(5), F.col("state") + F.col("weight").cast("double")
+    send = F.when(F.col("other").isNull() | (through < F.col("other")), through)
+    out, _ = G.vertex_program(g, F.when(here, F.lit(0.0)), send, F.min, lambda state, message: F.least(state, message),
+                              active=here, receiver=True)
+    return out.select("id", F.col("state").alias("dist"))
+
+
+@register("graph_lowest_reached")
+def q_graph_lowest_reached(spark, sf_dir):
+    """The smallest id that each vertex reaches along out-edges: messages go against the
+    edges, and the initial message gives every vertex its own id."""
+    out, _ = G.vertex_program(_g(spark, sf_dir), F.lit(None).cast("long"), F.col("state"), F.min,
+                              lambda state, message: F.least(state, message), direction="in", initial=F.col("id"))
+    return out.select("id", F.col("state").alias("lowest"))
+
+
 @register("graph_pagerank")
 def q_graph_pagerank(spark, sf_dir):
     g = _g(spark, sf_dir)
