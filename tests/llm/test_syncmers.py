@@ -125,3 +125,36 @@ def test_short_passages_are_found_in_longer_documents(n):
     assert set(own["hash"].tolist()) <= set(whole["hash"].tolist())
     pairs = syncmers.matches(syncmers.to_string(own), syncmers.to_string(whole))
     assert pairs and sum(q - p == 400 for p, q in pairs) >= 0.9 * len(pairs)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="ab é\U0001f600", max_size=300))
+def test_a_fingerprint_keeps_every_anchor_and_its_position(text):
+    records = syncmers.fingerprint_of(code_points(text))
+    back = syncmers.from_string(syncmers.to_string(records))
+    assert back.tolist() == records.tolist()
+    for scale, (k, s) in enumerate(syncmers.SCALES):
+        at = back["gap"][(back["hash"] & 3) == scale].astype(int).cumsum().tolist()
+        assert at == [p for p, _ in brute_anchors(text, k, s)]
+
+
+@pytest.mark.parametrize("n", [1000, 20000])
+def test_a_fingerprint_is_not_much_longer_than_its_text(n):
+    rng = random.Random(n)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    assert len(syncmers.to_string(syncmers.fingerprint_of(code_points(text)))) < 1.9 * n
+
+
+@pytest.mark.parametrize("parts", [2, 6])
+def test_null_ids_fill_ranges_of_their_own(docs, parts):
+    rng = random.Random(8)
+    rows = [(k, "named %d" % k, "s") for k in range(60)] + [(None, "unnamed %d %d" % (k, rng.randint(0, 99)), "s") for k in range(60)]
+    frame = docs(rows + [(None, None, "s"), (None, None, "s")])
+    placed = syncmers.with_next(frame, parts).where("guest = 0 AND doc_id IS NULL").groupBy("part").count().collect()
+    assert len(placed) >= parts // 2
+    got = syncmers.edited_copies(frame, parts).collect()
+    assert len(got) == len(rows) + 2
+    # every text is the next document of exactly one row
+    halves = lambda t, u: t[:len(t) - len(t) // 2] + u[:len(t) // 2]
+    digests = {hashlib.sha256(halves(a[1], b[1]).encode()).hexdigest() for a in rows for b in [*rows, (None, "", "s")]}
+    assert all(r["edited_sha256"] in digests for r in got if r["n_chars"])
