@@ -161,7 +161,8 @@ def tokenised(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, pa
     path = tokenizer or default_tokenizer()
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     end = np.array([end_id], dtype="<u4").tobytes()
-    ordered = (docs.select("doc_id", "text").repartitionByRange(parts, "doc_id")
+    # Equal and null ids fill several ranges: the start of a text orders as the text does.
+    ordered = (docs.select("doc_id", "text").repartitionByRange(parts, "doc_id", F.substring("text", 1, 32))
                .sortWithinPartitions("doc_id", "text")
                .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
 
