@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -63,6 +63,25 @@ def histogram_map(df: DataFrame, col: str) -> DataFrame:
     return h.agg(F.map_from_entries(F.collect_list(F.struct(F.col(col), F.col("n")))).alias("histogram"))
 
 
+def observed_counts(df: DataFrame, col: str, values: list) -> tuple[DataFrame, Callable[[], dict]]:
+    """``df`` and a function that gives the counts of ``values`` in ``col`` once an action
+    on the returned frame has run: a map {value: n, ..., None: rows with any other value
+    or none}, observed while the rows pass by. No further scan or shuffle; each task
+    counts for itself, and a task that is run again is counted once. The map has as many
+    entries as ``values``, so pass a bounded list."""
+    seen = Observation()
+    known = [F.count_if(F.col(col).eqNullSafe(F.lit(v))).alias(f"n{k}") for k, v in enumerate(values)]
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *known)
+
+    def counts() -> dict:
+        got = seen.get
+        out = {v: got[f"n{k}"] for k, v in enumerate(values)}
+        out[None] = got["rows"] - sum(out.values())
+        return out
+
+    return watched, counts
+
+
 def register_average_udaf(spark: SparkSession, name: str = "average") -> None:
     """Register ``name(sum(x), count(x))`` as a temporary SQL function: the last
     step of an average over a (sum, count) buffer. The buffer itself is kept by

@@ -341,6 +341,24 @@ SELECT coalesce(s.topic, e.topic) AS topic, coalesce(s.partition, e.partition) A
 FROM saved s FULL OUTER JOIN earliest e ON s.topic = e.topic AND s.partition = e.partition
 """
 
+ORACLE["offset_continue"] = """
+WITH t AS (SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id AS off FROM events),
+half AS (SELECT topic, partition, (min(off) + max(off)) // 2 AS cut FROM t GROUP BY 1, 2),
+cut AS (SELECT topic, partition, off, off < cut AS early FROM t JOIN half USING (topic, partition))
+SELECT topic, partition, count(*) AS n, count(DISTINCT off) AS offsets, count(*) FILTER (WHERE early) AS first_run,
+       min(off) FILTER (WHERE NOT early) AS resumed_at
+FROM cut GROUP BY 1, 2
+"""
+
+ORACLE["observed_histogram"] = """
+SELECT event_type, count(*) AS n, (SELECT count(*) FROM events WHERE event_type = 'purchase') AS written
+FROM events GROUP BY 1
+"""
+
+ORACLE["partition_sink"] = """
+SELECT o_orderkey, o_custkey, o_totalprice::DOUBLE AS price FROM orders
+"""
+
 ORACLE["linreg_fit"] = """
 SELECT round(sum(l_quantity * l_extendedprice) / sum(l_quantity * l_quantity), 4) AS coefficient FROM lineitem
 """

@@ -19,7 +19,7 @@ from kestrel.operators import graph as G
 from kestrel.operators import layout, ml, ranking, sales, text, weblog
 from kestrel.operators.materialize import materialize
 from kestrel.session import scratch_path
-from kestrel.sources import derived, readers, schemas, writers
+from kestrel.sources import derived, partition_sink, readers, schemas, writers
 from kestrel.sources.tables import table
 from kestrel.streaming import runners as R
 from kestrel.streaming import stateful as SF
@@ -183,6 +183,29 @@ def q_value_histogram(spark, sf_dir):
     return A.histogram(table(spark, sf_dir, "events"), "event_type")
 
 
+@register("observed_histogram")
+def q_observed_histogram(spark, sf_dir):
+    """Counts per kind of event, observed while the purchases are written elsewhere."""
+    kinds = ["view", "signup", "click", "error", "purchase"]
+    watched, counts = A.observed_counts(table(spark, sf_dir, "events").select("event_id", "event_type", "value"), "event_type", kinds)
+    path = scratch_path(spark, "purchases")
+    watched.where("event_type = 'purchase'").write.parquet(path)
+    seen = counts()
+    written = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("written"))
+    kind = F.explode(F.array(*[F.struct(F.lit(k).alias("event_type"), F.lit(n).cast("bigint").alias("n"))
+                               for k, n in seen.items() if k is not None or n]))
+    return written.select(kind.alias("k"), "written").select("k.event_type", "k.n", "written")
+
+
+@register("partition_sink")
+def q_partition_sink(spark, sf_dir):
+    """Every partition of the orders written in batches, in one transaction each, and read back."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("double").alias("price"))
+    path = scratch_path(spark, "partition_sink")
+    partition_sink.write_partitions(orders, partition_sink.folder_target(path, orders), batch_rows=5000)
+    return spark.read.parquet(path).select("o_orderkey", "o_custkey", "price")
+
+
 # --- layout (P8, P9, X1, U5) ------------------------------------------------------
 @register("row_index")
 def q_row_index(spark, sf_dir):
@@ -503,6 +526,30 @@ def q_offset_resume(spark, sf_dir, saved_days=20, kept_days=7):
     return ST.resume_positions(ledger, earliest)
 
 
+@register("offset_continue")
+def q_offset_continue(spark, sf_dir):
+    """Two runs over a stored topic: the first stops half-way in every partition, the
+    second reads on from the positions in the ledger. Their outputs together."""
+    base = scratch_path(spark, "offset_continue")
+    records = _topic_records(table(spark, sf_dir, "events").select("event_type", "user_id", "event_id", "ts"))
+    place = ["topic", "partition", "offset"]
+    records.select(*place).repartitionByRange(*place).sortWithinPartitions(*place).write.parquet(f"{base}/log")
+    log = spark.read.parquet(f"{base}/log")
+    ends = log.groupBy("topic", "partition").agg(F.min("offset").alias("earliest_offset"), F.max("offset").alias("last"))
+    ends = materialize(ends, "topic_ends")  # one row a partition
+    half = ends.select("topic", "partition", F.expr("(earliest_offset + last) div 2").alias("until_offset"))
+    first = R.read_from(log, ends.withColumnRenamed("earliest_offset", "start_offset"), until=half)
+    R.batch_writer(f"{base}/data")(first, 0)
+    ST.offset_ranges(spark.read.parquet(f"{base}/data/batch_id=0")).write.parquet(f"{base}/ledger")
+    saved = ST.resume_positions(spark.read.parquet(f"{base}/ledger"), ends.select("topic", "partition", "earliest_offset"))
+    saved = saved.where("start_offset >= 0")  # a partition that the first run had no row of starts anew
+    R.batch_writer(f"{base}/data")(R.read_from(log, saved, unsaved="earliest"), 1)
+    schema = T.StructType([log.schema[c] for c in place])
+    return (R.read_batches(spark, f"{base}/data", schema).groupBy("topic", "partition")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("offset").alias("offsets"), F.count_if(F.col("batch_id") == 0).alias("first_run"),
+                 F.min(F.when(F.col("batch_id") == 1, F.col("offset"))).alias("resumed_at")))
+
+
 # --- machine learning (M1-M11, S9, S11, S12, S24, A11, A12, J2) --------------------
 
 

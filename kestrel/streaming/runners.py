@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,6 +104,38 @@ def run_some(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkp
     return False
 
 
+def read_from(log: DataFrame, positions: DataFrame, until: DataFrame | None = None, unsaved: str = "latest") -> DataFrame:
+    """Rows of a stored ``log`` (topic, partition, offset, ...) from the start offset of
+    each partition on: ``positions`` has (topic, partition, start_offset), as
+    :func:`transforms.resume_positions` gives them; -1 stands for the end of the log.
+    ``until`` (topic, partition, until_offset) ends a run before those offsets.
+    Partitions without a position are left out, or read whole with ``unsaved="earliest"``.
+
+    The positions (one row a partition of a topic) become one predicate, which reaches
+    the scan: what lies before them is skipped by file statistics where the log is
+    sorted. Rows without a topic or partition belong to none and are not read."""
+    here = lambda r: (F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"])
+    starts = positions.collect()
+    ends = {(r["topic"], r["partition"]): r["until_offset"] for r in until.collect()} if until is not None else {}
+    terms = []
+    for r in starts:
+        if r["start_offset"] >= 0:
+            term = here(r) & (F.col("offset") >= r["start_offset"])
+            end = ends.get((r["topic"], r["partition"]))
+            terms.append(term if end is None else term & (F.col("offset") < end))
+    if unsaved == "earliest":
+        terms.append(~_any_of([here(r) for r in starts]))
+    return log.where(_any_of(terms))
+
+
+def _any_of(terms: list) -> Column:
+    """Disjunction as a balanced tree, so that many terms do not nest deeply."""
+    if len(terms) <= 1:
+        return terms[0] if terms else F.lit(False)
+    half = len(terms) // 2
+    return _any_of(terms[:half]) | _any_of(terms[half:])
+
+
 def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch handler: write the batch under ``path/batch_id=<id>``,
     replacing that folder if the batch is replayed."""
