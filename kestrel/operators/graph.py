@@ -14,8 +14,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.operators.materialize import materialize, release
+from kestrel.session import scratch_path
 
 SALTS = 16  # parts over which a receiver's attributes are spread when a message reads them
 
@@ -183,6 +185,34 @@ def _checkpoint(df: DataFrame, metric: Column | None = None):
     return materialize(df, "round", metric)
 
 
+SPREAD = 4  # files that the edges of one sender may fill
+
+
+def _part_of(sender: Column, kind, parts: int) -> Column:
+    """Folder of a sender; the cast makes equal ids of edges and vertices hash alike."""
+    return F.pmod(F.xxhash64(sender.cast(kind)), F.lit(parts))
+
+
+def _indexed_edges(edges: DataFrame, kind) -> tuple[DataFrame, int]:
+    """Edges (``_from``, ``_to``, ...) written in folders by ``_part``, sorted by sender,
+    and the number of folders (at most the 32,768 bits of a bitmap)."""
+    spark = edges.sparkSession
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 15)
+    path = scratch_path(spark, "edges")
+    (edges.where("_from IS NOT NULL").withColumn("_part", _part_of(F.col("_from"), kind, parts).cast("int"))
+     .where("_part IS NOT NULL").repartition(parts, "_part", F.pmod(F.xxhash64("_to"), F.lit(SPREAD)))
+     .sortWithinPartitions("_part", "_from").write.partitionBy("_part").parquet(path))
+    out = spark.read.schema(T.StructType([*edges.schema.fields, T.StructField("_part", T.IntegerType())])).parquet(path)
+    out._kestrel_path = path
+    return out, parts
+
+
+def _edges_from(edges: DataFrame, parts: int, bits: bytes) -> DataFrame:
+    """The edges in the folders whose bits are set."""
+    wanted = [k for k in range(parts) if bits[k // 8] >> k % 8 & 1]
+    return (edges.where(F.col("_part").isin(wanted)) if len(wanted) < parts else edges).drop("_part")
+
+
 def vertex_program(g: PropertyGraph, start: Column, send: Column, merge: Callable[[Column], Column],
                    program: Callable[[Column, Column], Column], active: Column | None = None,
                    max_rounds: int = 10_000, direction: str = "out", initial: Column | None = None,
@@ -200,7 +230,12 @@ def vertex_program(g: PropertyGraph, start: Column, send: Column, merge: Callabl
     leave a state changing it raises :class:`NotConverged`, or, unless ``strict``,
     returns the states of that round.
 
-    A round is one join of the frontier with the edges (Catalyst broadcasts it
+    The edges are written once, in folders by a hash of their sender (each of several
+    files, so that a hub's edges are not one file). The folders that the frontier needs
+    are observed, as bits, while the round is written: a round reads only those, and a
+    small frontier a small part of the edges.
+
+    A round is one join of the frontier with these edges (Catalyst broadcasts it
     from its measured bytes, else both sides are shuffled and AQE splits a hot
     sender) and one grouped aggregate that merges the messages, partially in
     each task, with the old states. Rounds are written to the shared folder and
@@ -209,20 +244,23 @@ def vertex_program(g: PropertyGraph, start: Column, send: Column, merge: Callabl
         raise ValueError(f"unknown direction {direction!r}")
     ways = [g.edges.select(F.col(a).alias("_from"), F.col(b).alias("_to"), "*")
             for way, a, b in (("out", "src", "dst"), ("in", "dst", "src")) if direction in (way, "both")]
-    edges = _checkpoint(ways[0] if len(ways) == 1 else ways[0].unionByName(ways[1]))
+    kind_of = g.vertices.schema["id"].dataType
+    edges, parts = _indexed_edges(ways[0] if len(ways) == 1 else ways[0].unionByName(ways[1]), kind_of)
+    frontier = F.struct(F.count(F.when(F.col("changed"), 1)).alias("n"),
+                        F.bitmap_construct_agg(F.when(F.col("changed"), _part_of(F.col("id"), kind_of, parts))).alias("parts"))
     changed = F.lit(True) if active is None else F.coalesce(active, F.lit(False))
     first = start if initial is None else F.when(initial.isNull(), start).otherwise(program(start, initial))
-    states, n = _checkpoint(g.vertices.select("id", first.alias("state"), changed.alias("changed"))
-                            .where(F.col("id").isNotNull()), F.count(F.when(F.col("changed"), 1)))
+    states, senders = _checkpoint(g.vertices.select("id", first.alias("state"), changed.alias("changed"))
+                                  .where(F.col("id").isNotNull()), frontier)
     kind = states.schema["state"].dataType
     rounds = 0
-    while n:
+    while senders["n"]:
         if rounds == max_rounds:
             if not strict:
                 break
-            raise NotConverged(f"{n} vertices still change after {rounds} rounds")
+            raise NotConverged(f"{senders['n']} vertices still change after {rounds} rounds")
         rounds += 1
-        along = edges.join(states.where("changed").select(F.col("id").alias("_from"), "state"), "_from")
+        along = _edges_from(edges, parts, senders["parts"]).join(states.where("changed").select(F.col("id").alias("_from"), "state"), "_from")
         if receiver:  # edges are the probe side, so AQE can split a hub's
             along = along.join(states.select(F.col("id").alias("_to"), F.col("state").alias("other")), "_to")
         sent = (along.select(F.col("_to").alias("id"), F.lit(None).cast(kind).alias("state"), send.cast(kind).alias("message"))
@@ -233,7 +271,7 @@ def vertex_program(g: PropertyGraph, start: Column, send: Column, merge: Callabl
         new = F.when(F.col("message").isNull(), F.col("state")).otherwise(program(F.col("state"), F.col("message")))
         step = (merged.where("own").select("id", new.alias("state"), (~new.eqNullSafe(F.col("state"))).alias("changed")))
         previous = states
-        states, n = _checkpoint(step, F.count(F.when(F.col("changed"), 1)))
+        states, senders = _checkpoint(step, frontier)
         release(previous)  # superseded; the new round no longer reads it
     release(edges)
     return states.select("id", "state"), rounds
