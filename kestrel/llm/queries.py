@@ -40,14 +40,15 @@ def op2(spark, sf_dir):
 
 ORACLE["op2_topk_search"] = """
 WITH e AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64.0 * x::DOUBLE)) AS w FROM embeddings
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(64.0 * x::DOUBLE)) AS w
+  FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.w, c.w)::BIGINT AS score
-  FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+  SELECT q.n, q.vec_id AS query_id, c.vec_id, list_dot_product(q.w, c.w)::BIGINT AS score
+  FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.n <> c.n
 ), placed AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs
+  SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs
 )
 SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 20
 """
