@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,3 +155,70 @@ def test_the_dictionary_is_filled_among_equal_counts(docs):
         found = secrets.dictionary(docs(rows), size)
         assert found == sorted(found) and set(found) <= {("often", 2), ("seldom", 2), *((w, 1) for w in rare)}
         assert size // 2 <= len(found) <= size if size < 600 else len(found) == 627
+
+
+def shape_by_hand(c, assigned, named, words, chance):
+    kind = ["digit" if x.isdigit() else "lower" if x.islower() else "upper" if x.isupper() else "other" for x in c]
+    near = list(zip(kind, kind[1:]))
+    low, at, covered = c.lower(), 0, 0
+    while at < len(low):
+        fits = [n for n in range(3, 17) if at + n <= len(low) and low[at:at + n] in words]
+        covered += max(fits, default=0)
+        at += max(fits, default=1)
+    steps = [chance(a, b) for a, b in zip(low, low[1:])]
+    share = [n / len(c) for n in Counter(c).values()]
+    return [len(c), sum(a != b for a, b in near) / max(len(near), 1), sum(steps) / max(len(steps), 1), covered / len(low),
+            -sum(p * math.log2(p) for p in share), sum(x in "0123456789abcdefABCDEF" for x in c) / len(c),
+            *(kind.count(k) / len(c) for k in ("digit", "lower", "upper", "other")), float(assigned), float(named)]
+
+
+def grown(node):
+    """A fitted tree as nested tuples (feature, threshold, left, right) or a leaf's share of label 1."""
+    if node.getClass().getSimpleName() == "LeafNode":
+        stats = list(node.impurityStats().stats())
+        return stats[1] / sum(stats)
+    return node.split().featureIndex(), node.split().threshold(), grown(node.leftChild()), grown(node.rightChild())
+
+
+def test_features_rates_and_scores_equal_a_second_program(docs):
+    rows, _ = corpus(4, 240)
+    df = docs(rows)
+    counts = Counter(w for _, t, _ in rows for w in t.lower().split() if 3 <= len(w) <= 16 and w.isalpha())
+    words = secrets.dictionary(df)
+    assert dict(words) == counts
+    table = defaultdict(Counter)
+    group = lambda x: x if "a" <= x <= "z" else "digit" if x.isdigit() else "other"
+    for w, n in counts.items():
+        for a, b in zip(w, w[1:]):
+            table[group(a)][group(b)] += n
+    chance = lambda a, b: math.log((table[group(a)][group(b)] + 1) / (sum(table[group(a)].values()) + 28))
+    found = secrets.materialize(
+        secrets.with_shape(secrets.candidates(df), words).withColumn("label", secrets.known_format())
+        .withColumn("order", F.xxhash64(F.lit(5), "doc_id", "start", "candidate")), "test-findings")
+    forest = secrets.Forest(found.drop("order"), trees=6, depth=4)
+    every = found.collect()
+    labelled = [r for r in every if r["label"] is not None]
+    overall = sum(r["label"] for r in labelled) / len(labelled)
+    assert forest.overall == pytest.approx(overall)
+    rates = {}
+    for column in ("path", "word_before", "word_after"):
+        seen = defaultdict(list)
+        for r in labelled:
+            if r["order"] % 2 == 0 and r[column] is not None:
+                seen[r[column]].append(r["label"])
+        rates[column] = {v: (sum(x) + 4 * overall) / (len(x) + 4) for v, x in seen.items()}
+    trees = [grown(t._java_obj.rootNode()) for t in forest.model.trees]
+    assert len(trees) == 6 and any(isinstance(t, tuple) for t in trees)
+    scores = {(r["doc_id"], r["start"]): r for r in forest.score(found.drop("order")).collect()}
+    assert len(scores) == len(every) > 100
+    for r in every:
+        shape = shape_by_hand(r["candidate"], r["assigned"], r["named"], set(counts), chance)
+        assert r["shape"] == pytest.approx(shape)
+        x = shape + [rates[c].get(r[c], overall) for c in rates]
+        leaves = []
+        for node in trees:
+            while isinstance(node, tuple):
+                node = node[2] if x[node[0]] <= node[1] + 1e-12 else node[3]
+            leaves.append(node)
+        mine = scores[r["doc_id"], r["start"]]
+        assert mine["score"] == pytest.approx(sum(leaves) / len(leaves)) and mine["is_secret"] == int(mine["score"] >= 0.5)

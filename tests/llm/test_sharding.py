@@ -1,6 +1,7 @@
 import zlib
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from kestrel.llm import sharding
@@ -96,3 +97,45 @@ def test_tasks_are_bounded_and_offsets_are_not_broadcast_by_hint(docs):
     assert "RepartitionByExpression" in placed._jdf.queryExecution().optimizedPlan().toString()
     assert ", 6" in placed._jdf.queryExecution().optimizedPlan().toString()
     assert "ResolvedHint" not in placed._jdf.queryExecution().analyzed().toString()
+
+
+def hashed(seed, *values):
+    """Spark's xxhash64 of ints (4 bytes), longs (given as (value,), 8 bytes) and strings, nulls left out."""
+    h = 42
+    for v in (seed, *values):
+        if v is None or v == (None,):
+            continue
+        raw = v.encode() if isinstance(v, str) else v[0].to_bytes(8, "little", signed=True) if isinstance(v, tuple) \
+            else v.to_bytes(4, "little", signed=True)
+        h = xxhash.xxh64_intdigest(raw, h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def shard_by_hand(key, shards, seed=42):
+    return max((hashed(seed, (key,), s), s) for s in range(shards))[1]
+
+
+@pytest.mark.parametrize("shards,bucket_bytes", [(4, 200), (3, 90), (1, 1 << 20)])
+def test_shards_buckets_and_slots_equal_a_second_program(docs, shards, bucket_bytes):
+    rows = rows_of(300) + [(None, None, "s"), (None, "unnamed", "s"), (-7, "", "s"), (5, "text 5 " * 2, "t")]
+    got = sharding.shuffled(docs(rows), shards, bucket_bytes=bucket_bytes).collect()
+    total = sum(len((t or "").encode()) + 1 for _, t, _ in rows)
+    fan = max(1, -(-total // (bucket_bytes * shards)))
+    want: dict = {}
+    for key, text, source in rows:
+        shard = shard_by_hand(key, shards)
+        inner = hashed(text) if text is not None else 42
+        want.setdefault((shard, hashed(43, (key,), (inner,), (0,)) % fan), []).append((key, text, source))
+    by = {(r["shard"], r["slot"]): (r["doc_id"], r["text"], r["source"]) for r in got}
+    assert len(by) == len(got) == len(rows)
+    assert all(r["grown_shard"] == shard_by_hand(r["doc_id"], shards + 1) for r in got)
+    moved = 0
+    for shard in range(shards):
+        at = 0
+        for bucket in range(fan):  # buckets one after another, each holding its rows in some order
+            mine = want.get((shard, bucket), [])
+            placed = [by[shard, at + k] for k in range(len(mine))]
+            assert sorted(map(str, placed)) == sorted(map(str, mine))
+            moved += sum(a != b for a, b in zip(placed, sorted(mine, key=str)))
+            at += len(mine)
+    assert moved > len(rows) // 2
