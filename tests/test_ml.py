@@ -1,9 +1,13 @@
 import math
 from itertools import combinations
 
+import numpy as np
+import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from kestrel.operators import ml
+from kestrel.plans import queries as q
 from kestrel.sources import readers
 
 NEAR = [(x, x + 1.0, y) for x in (0.0, 0.5, 1.0) for y in (0.0, 0.25)]
@@ -74,3 +78,67 @@ def test_linear_regression_exact_and_gd(spark):
     assert ml.mse(model.transform(pts), "label", "prediction").first()["mse"] < 1e-12
     w = ml.linreg_gd(df, "x", "y", iters=100, step=1e-3)
     assert abs(w - 3.0) < 1e-3
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_kmeans_centers_are_the_means_of_their_points(spark):
+    pts = q._points(spark, SMALL)
+    model = ml.kmeans_fit(pts, k=2, max_iter=100, seed=1)
+    rows = model.transform(pts).select(vector_to_array("features").alias("x"), "cluster").collect()
+    x, cluster = np.array([r["x"] for r in rows]), np.array([r["cluster"] for r in rows])
+    centers = np.array([list(c) for c in model.clusterCenters()])
+    far = ((x[:, None] - centers[None]) ** 2).sum(axis=2)
+    assert (far[np.arange(len(x)), cluster] <= far.min(axis=1) + 1e-9).all()
+    for k in range(2):  # within the fit's tolerance of a fixed point
+        assert np.abs(x[cluster == k].mean(axis=0) - centers[k]).max() < 2e-2
+    assert ml.kmeans_cost(model, pts).first()[0] == pytest.approx(far.min(axis=1).sum(), rel=1e-9)
+
+
+def test_tree_splits_its_root_best_and_error_is_counted(spark):
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 20, (300, 3)).astype(float)
+    y = ((x[:, 1] > 11) ^ (rng.random(300) < 0.1)).astype(float)
+    df = spark.createDataFrame([(float(b), *map(float, a)) for a, b in zip(x, y)], "label double, a double, b double, c double")
+    df = df.withColumn("features", ml.as_vector(F.array("a", "b", "c")))
+    model = ml.tree_fit(df, max_depth=1)
+    root = model._java_obj.rootNode()
+
+    def gini(part):
+        return 2 * part.mean() * (1 - part.mean()) * len(part) if len(part) else 0.0
+
+    def loss(feature, cut):
+        left = x[:, feature] <= cut
+        return gini(y[left]) + gini(y[~left])
+
+    least = min(loss(f, cut) for f in range(3) for cut in np.arange(0.5, 19.5))
+    feature, cut = root.split().featureIndex(), root.split().threshold()
+    assert loss(feature, cut) == pytest.approx(least)
+    left = x[:, feature] <= cut
+    guess = np.where(left, y[left].mean() > 0.5, y[~left].mean() > 0.5)
+    got = ml.error_rate(model.transform(df)).first()
+    assert got["rows"] == 300 and got["error_rate"] == pytest.approx((guess != y).mean())
+
+
+def test_als_factors_solve_their_least_squares(spark):
+    """The last half step solves every user's ridge system for the item factors,
+    and the score is the mean squared error of the factors' products."""
+    reg, rank = 0.05, 6
+    ratings = ml.with_int_ids(q._ratings(spark, SMALL)).cache()
+    model = ml.als_fit(ratings, rank=rank, max_iter=5, reg=reg, seed=0, user="user_id", item="item_id")
+    users = {r["id"]: np.array(r["features"]) for r in model.userFactors.collect()}
+    items = {r["id"]: np.array(r["features"]) for r in model.itemFactors.collect()}
+    rows = ratings.select("user_id", "item_id", "rating").collect()
+    mine: dict = {}
+    for u, i, r in rows:
+        mine.setdefault(u, []).append((i, r))
+    assert set(mine) == set(users)
+    for u, rated in mine.items():
+        v, r = np.array([items[i] for i, _ in rated]), np.array([x for _, x in rated])
+        want = np.linalg.solve(v.T @ v + reg * len(rated) * np.eye(rank), v.T @ r)
+        assert np.allclose(users[u], want, rtol=1e-2, atol=1e-2 * max(1.0, np.abs(want).max()))
+    mse = np.mean([(r - users[u] @ items[i]) ** 2 for u, i, r in rows])
+    predicted = model.transform(ratings).select("user", "item", "prediction")
+    got = ml.mse(ml.score_against(ratings, predicted), "rating", "prediction").first()
+    assert got["rows"] == len(rows) and got["mse"] == pytest.approx(mse, rel=1e-3)
