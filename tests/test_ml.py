@@ -1,5 +1,7 @@
 import math
+import time
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -36,6 +38,28 @@ def test_als_fixture(spark):
     assert m["rows"] == 16 and m["mse"] < 1e-2
 
 
+def test_als_drops_the_shuffles_of_past_iterations(spark):
+    """Of ten iterations (two shuffles each) only the last may still lie on disk."""
+    dirs = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffles():
+        return {f.name.split("_")[1] for d in dirs for f in Path(d).glob("*/shuffle_*.data")}
+
+    rows = [(u, i, float((u * i) % 5)) for u in range(60) for i in range(u % 3, 40, 3)]
+    ratings = spark.createDataFrame(rows, "user int, item int, rating double").cache()
+    ratings.count()
+    before = shuffles()
+    model = ml.als_fit(ratings, rank=4, max_iter=10)
+    assert model.transform(ratings).count() == len(rows)
+    for _ in range(50):  # files are removed in the background
+        left = shuffles() - before
+        if len(left) <= 9:
+            break
+        time.sleep(0.2)
+    assert len(left) <= 9
+    ratings.unpersist()
+
+
 def test_fpgrowth_fixture(spark):
     b = readers.parse_basket(spark.createDataFrame([(x,) for x in BASKETS], "value string"))
     fi = ml.frequent_itemsets(b, 0.3, num_partitions=2)
