@@ -185,7 +185,8 @@ def _checkpoint(df: DataFrame, metric: Column | None = None):
     return materialize(df, "round", metric)
 
 
-SPREAD = 4  # files that the edges of one sender may fill
+SPREAD = 4  # files, at least, that the edges of one sender may fill
+FILE_EDGES = 1 << 20  # edges that one task sorts and writes, about
 
 
 def _part_of(sender: Column, kind, parts: int) -> Column:
@@ -193,14 +194,19 @@ def _part_of(sender: Column, kind, parts: int) -> Column:
     return F.pmod(F.xxhash64(sender.cast(kind)), F.lit(parts))
 
 
-def _indexed_edges(edges: DataFrame, kind) -> tuple[DataFrame, int]:
+def _indexed_edges(edges: DataFrame, kind, rows: int | None = None) -> tuple[DataFrame, int]:
     """Edges (``_from``, ``_to``, ...) written in folders by ``_part``, sorted by sender,
-    and the number of folders (at most the 32,768 bits of a bitmap)."""
+    and the number of folders (at most the 32,768 bits of a bitmap). The tasks that sort
+    them grow in number with the edges (``rows``, counted when not given), not in size:
+    the files of a folder, by a hash of the receiver, are dealt evenly to the tasks."""
     spark = edges.sparkSession
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 15)
+    tasks = max(parts, -(-(edges.count() if rows is None else rows) // FILE_EDGES))
+    spread = max(SPREAD, -(-tasks // parts))
     path = scratch_path(spark, "edges")
+    file = F.col("_part") * spread + F.pmod(F.xxhash64("_to"), F.lit(spread))
     (edges.where("_from IS NOT NULL").withColumn("_part", _part_of(F.col("_from"), kind, parts).cast("int"))
-     .where("_part IS NOT NULL").repartition(parts, "_part", F.pmod(F.xxhash64("_to"), F.lit(SPREAD)))
+     .where("_part IS NOT NULL").repartitionById(tasks, F.pmod(file, F.lit(tasks)).cast("int"))
      .sortWithinPartitions("_part", "_from").write.partitionBy("_part").parquet(path))
     out = spark.read.schema(T.StructType([*edges.schema.fields, T.StructField("_part", T.IntegerType())])).parquet(path)
     out._kestrel_path = path
@@ -242,10 +248,14 @@ def vertex_program(g: PropertyGraph, start: Column, send: Column, merge: Callabl
     the changes counted during that write."""
     if direction not in ("out", "in", "both"):
         raise ValueError(f"unknown direction {direction!r}")
-    ways = [g.edges.select(F.col(a).alias("_from"), F.col(b).alias("_to"), "*")
+    raw, rows = _checkpoint(g.edges, F.count(F.lit(1)))
+    ways = [raw.select(F.col(a).alias("_from"), F.col(b).alias("_to"), F.lit(way == "out").alias("_out"), *g.edge_attrs)
             for way, a, b in (("out", "src", "dst"), ("in", "dst", "src")) if direction in (way, "both")]
+    ends = {c: F.when(F.col("_out") == (c == "src"), F.col("_from")).otherwise(F.col("_to")).cast(raw.schema[c].dataType)
+            for c in ("src", "dst")}
     kind_of = g.vertices.schema["id"].dataType
-    edges, parts = _indexed_edges(ways[0] if len(ways) == 1 else ways[0].unionByName(ways[1]), kind_of)
+    edges, parts = _indexed_edges(ways[0] if len(ways) == 1 else ways[0].unionByName(ways[1]), kind_of, rows * len(ways))
+    release(raw)
     frontier = F.struct(F.count(F.when(F.col("changed"), 1)).alias("n"),
                         F.bitmap_construct_agg(F.when(F.col("changed"), _part_of(F.col("id"), kind_of, parts))).alias("parts"))
     changed = F.lit(True) if active is None else F.coalesce(active, F.lit(False))
@@ -263,7 +273,8 @@ def vertex_program(g: PropertyGraph, start: Column, send: Column, merge: Callabl
         along = _edges_from(edges, parts, senders["parts"]).join(states.where("changed").select(F.col("id").alias("_from"), "state"), "_from")
         if receiver:  # edges are the probe side, so AQE can split a hub's
             along = along.join(states.select(F.col("id").alias("_to"), F.col("state").alias("other")), "_to")
-        sent = (along.select(F.col("_to").alias("id"), F.lit(None).cast(kind).alias("state"), send.cast(kind).alias("message"))
+        sent = (along.withColumns(ends)
+                .select(F.col("_to").alias("id"), F.lit(None).cast(kind).alias("state"), send.cast(kind).alias("message"))
                 .where(F.col("message").isNotNull()))
         held = states.select("id", "state", F.lit(None).cast(kind).alias("message"), F.lit(True).alias("own"))
         merged = (held.unionByName(sent.withColumn("own", F.lit(False))).groupBy("id")
@@ -296,9 +307,9 @@ def shortest_paths(g: PropertyGraph, source, weight: str = "weight",
 
 def connected_components(g: PropertyGraph, max_rounds: int = 10_000) -> tuple[DataFrame, int]:
     """(id, component): the smallest id reachable over edges in either direction."""
-    both = g.edges.select("src", "dst").unionByName(g.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    out, rounds = vertex_program(PropertyGraph(g.vertices, both), F.col("id"), F.col("state"), F.min,
-                                 lambda state, message: F.least(state, message), max_rounds=max_rounds)
+    plain = PropertyGraph(g.vertices, g.edges.select("src", "dst"))
+    out, rounds = vertex_program(plain, F.col("id"), F.col("state"), F.min, lambda state, message: F.least(state, message),
+                                 max_rounds=max_rounds, direction="both")
     return out.withColumnRenamed("state", "component"), rounds
 
 
