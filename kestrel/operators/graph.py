@@ -271,8 +271,8 @@ def vertex_program(g: PropertyGraph, start: Column, send: Column, merge: Callabl
             raise NotConverged(f"{senders['n']} vertices still change after {rounds} rounds")
         rounds += 1
         along = _edges_from(edges, parts, senders["parts"]).join(states.where("changed").select(F.col("id").alias("_from"), "state"), "_from")
-        if receiver:  # edges are the probe side, so AQE can split a hub's
-            along = along.join(states.select(F.col("id").alias("_to"), F.col("state").alias("other")), "_to")
+        if receiver:  # edges are the probe side, so AQE can split a hub's; the states, one a vertex, are never sent to the driver
+            along = along.join(states.select(F.col("id").alias("_to"), F.col("state").alias("other")).hint("shuffle_hash"), "_to")
         sent = (along.withColumns(ends)
                 .select(F.col("_to").alias("id"), F.lit(None).cast(kind).alias("state"), send.cast(kind).alias("message"))
                 .where(F.col("message").isNotNull()))
