@@ -322,13 +322,37 @@ def pagerank_by_vertex(g: PropertyGraph, tol: float = 0.001, reset_prob: float =
     change within ``tol``, are at rest until the next message. Returns (id, rank) and the
     number of senders of each round, which falls as vertices come to rest.
 
-    A round joins only the senders with the edges (Catalyst broadcasts them from their
-    measured bytes, else AQE splits a hot sender) and writes only the receivers'
-    changes; ranks are summed once, at the end, over the changes of all rounds."""
-    edges = _checkpoint(g.edges.select("src", "dst"))
+    The edges are written once, in as many buckets by ``src`` as the cluster has
+    cores: a round shuffles only the senders to them, and each bucket merges its
+    shares before they are shuffled, at most one row per receiver and bucket. A round
+    writes only the receivers' changes; ranks are summed once, at the end, over the
+    changes of all rounds."""
+    spark = g.vertices.sparkSession
+    edges, table = _bucketed_edges(g.edges.select("src", "dst"))
+    try:
+        return _pass_changes_on(g.vertices, edges, tol, reset_prob, max_rounds)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        release(edges)
+
+
+def _bucketed_edges(edges: DataFrame) -> tuple[DataFrame, str]:
+    """Edges as a table bucketed by ``src`` in the shared folder, and its name."""
+    spark = edges.sparkSession
+    path = scratch_path(spark, "kestrel_edges")
+    name = path.rpartition("/")[2].replace("-", "_")
+    buckets = spark.sparkContext.defaultParallelism
+    edges.write.bucketBy(buckets, "src").option("path", path).saveAsTable(name, format="parquet")
+    out = spark.table(name)
+    out._kestrel_path = path
+    return out, name
+
+
+def _pass_changes_on(vertices: DataFrame, edges: DataFrame, tol: float, reset_prob: float,
+                     max_rounds: int) -> tuple[DataFrame, list[int]]:
     degree = _checkpoint(edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("deg")))
     sends = F.count(F.when((F.col("change") > tol) & F.col("deg").isNotNull(), 1))
-    first = g.vertices.select("id").where(F.col("id").isNotNull()).distinct().withColumn("change", F.lit(reset_prob))
+    first = vertices.select("id").where(F.col("id").isNotNull()).distinct().withColumn("change", F.lit(reset_prob))
     changes, n = _checkpoint(first.join(degree, "id", "left"), sends)
     rounds, senders = [changes], []
     while n:
@@ -337,16 +361,16 @@ def pagerank_by_vertex(g: PropertyGraph, tol: float = 0.001, reset_prob: float =
         senders.append(n)
         front = changes.where(F.col("change") > tol).where("deg IS NOT NULL").select(
             F.col("id").alias("src"), (F.col("change") / F.col("deg")).alias("share"))
-        got = (edges.join(front, "src").groupBy(F.col("dst").alias("id"))
+        got = (edges.join(front.hint("shuffle_hash"), "src").groupBy(F.col("dst").alias("id"))
                .agg((F.sum("share") * (1 - reset_prob)).alias("change")))
-        changes, n = _checkpoint(got.join(degree, "id", "left"), sends)
+        changes, n = _checkpoint(got.join(degree.hint("shuffle_hash"), "id", "left"), sends)
         rounds.append(changes)
-    spark = g.vertices.sparkSession
+    spark = vertices.sparkSession
     paths = [r._kestrel_path for r in rounds]
     whole = spark.read.schema(changes.schema).parquet(*paths).groupBy("id").agg(F.sum("change").alias("rank"))
     known = rounds[0].select("id")  # messages to ids without a vertex do not make one
     out = _checkpoint(known.join(whole, "id"))
-    for frame in (*rounds, edges, degree):
+    for frame in (*rounds, degree):
         release(frame)
     return out, senders
 
