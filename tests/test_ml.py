@@ -1,4 +1,5 @@
 import math
+import random
 import time
 from itertools import combinations
 from pathlib import Path
@@ -60,6 +61,29 @@ def test_als_drops_the_shuffles_of_past_iterations(spark):
     ratings.unpersist()
 
 
+def test_als_blocks_grow_in_number_not_in_size(spark, monkeypatch):
+    """The ratings of a block, and the other side's factors that they name, fit one
+    task, where a fixed number of blocks would grow with the ratings."""
+    room, factor, rating = 22_500, 4 * 50 + 24, 80
+    monkeypatch.setattr(ml, "ALS_TASK_MB", room / 1e6, raising=False)
+    rng = random.Random(1)
+    rows = [(u, i, float(u % 5 + i % 3)) for u in range(80) for i in rng.sample(range(300), 25)]
+    ratings = spark.createDataFrame(rows, "user int, item int, rating double").cache()
+    model = ml.als_fit(ratings, rank=50, max_iter=3)
+    users, items = model.userFactors.rdd.getNumPartitions(), model.itemFactors.rdd.getNumPartitions()
+    for b in range(users):  # ALS deals ids to blocks by their remainder
+        mine = [i for u, i, _ in rows if u % users == b]
+        assert len(mine) * rating <= room and len(set(mine)) * factor <= 1.25 * room  # so few are dealt unevenly
+    for b in range(items):
+        assert sum(i % items == b for _, i, _ in rows) * rating <= room
+    assert items < users  # 80 users' factors fit one task, 300 items' do not
+    got = ml.mse(model.transform(ratings), "rating", "prediction").first()
+    assert got["rows"] == len(rows) and got["mse"] < 0.1
+    fixed = ml.als_fit(ratings, rank=4, max_iter=1, num_blocks=3)
+    assert fixed.userFactors.rdd.getNumPartitions() == fixed.itemFactors.rdd.getNumPartitions() == 3
+    ratings.unpersist()
+
+
 def test_fpgrowth_fixture(spark):
     b = readers.parse_basket(spark.createDataFrame([(x,) for x in BASKETS], "value string"))
     fi = ml.frequent_itemsets(b, 0.3, num_partitions=2)
